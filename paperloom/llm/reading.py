@@ -267,8 +267,10 @@ def graded(documents: DataFrame, labels: DataFrame, least: int, most: int = SAMP
     """Texts and bands of at most ``most`` graded documents, in the order of a hash of their key."""
     bands = labels.filter(F.col("band").between(1, BANDS)).groupBy("doc_id").agg(F.array_sort(F.collect_list("band")).alias("all"))
     median = bands.select("doc_id", F.get("all", F.floor(F.size("all") / 2).cast("int")).alias("band"))
-    joined = documents.select("doc_id", "text").filter(word_count(F.col("text")) >= least).join(median, "doc_id")
-    rows = joined.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(most).select("text", "band").toArrow()
+    there = documents.select("doc_id").join(median, "doc_id")
+    chosen = there.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(most).drop("_order")
+    joined = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(word_count(F.col("text")) >= least)
+    rows = joined.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "band").toArrow()
     return rows.column(0).to_pylist(), rows.column(1).to_pylist()
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.skew import lookup
+from paperloom.sources.tables import cut
 
 #: Phrases of a list that is broadcast to all workers; a longer list is refused, as it needs another index.
 MOST_PHRASES = 100_000
@@ -233,6 +234,10 @@ def map_values(values: DataFrame, keys: list[str], phrases: list[tuple[str, str]
     exploded = values.filter(F.col("value").isNotNull()).select(*keys, F.explode(F.array_distinct(F.split("value", "[;|/]"))).alias("raw"))
     exploded = exploded.select(*keys, part_key(F.col("raw")).alias("part")).filter(F.col("part").rlike(r"[\p{L}]{2}"))
     # Most parts are the same few sites, annexes and numbers; one row of each is matched.
-    found = map_parts(exploded.select("part").distinct(), phrases)
+    parts = exploded.select("part").distinct()
+    # A part is a few bytes and costs a millisecond: by size alone they would all go to one or two tasks.  Kept, as both
+    # ways of the join below read the result.
+    width = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cut(map_parts(parts.repartition(width, "part"), phrases))
     joined = lookup(exploded, found.select("part", "entry"), ["part"], 4 * rows).filter(F.col("entry").isNotNull())
     return joined.groupBy(*keys).agg(F.min("entry").alias("entry"), F.max("entry").alias("_other")).filter("entry = _other").drop("_other")

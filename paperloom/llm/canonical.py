@@ -63,18 +63,31 @@ def edits(a: str, b: str, most: int = 2) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
-    two, one = [], list(range(len(b) + 1))
+    # What both begin and end with costs nothing.
+    k, least = 0, min(len(a), len(b))
+    while k < least and a[k] == b[k]:
+        k += 1
+    end = 0
+    while end < least - k and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[k : len(a) - end], b[k : len(b) - end]
+    # Only cells within the limit of the diagonal can be within the limit.
+    far = most + 1
+    two, one = [], [min(j, far) for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(one[j] + 1, row[-1] + 1, one[j - 1] + (x != y))
+        low, high = max(1, i - most), min(len(b), i + most)
+        row = [far] * (len(b) + 1)
+        row[0] = min(i, far)
+        for j in range(low, high + 1):
+            y = b[j - 1]
+            d = min(one[j] + 1, row[j - 1] + 1, one[j - 1] + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, two[j - 2] + 1)
-            row.append(d)
+            row[j] = d
         if min(row) > most:
-            return most + 1
+            return far
         two, one = one, row
-    return min(one[-1], most + 1)
+    return min(one[-1], far)
 
 
 @lru_cache(maxsize=1 << 18)

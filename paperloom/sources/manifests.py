@@ -43,7 +43,7 @@ def read_types(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).filter(F.trim("value") != "")
     number = F.regexp_extract("value", r"^\s*(\d+):", 1)
     body = F.split(F.regexp_replace("value", r"^\s*\d+:", ""), r"\|")
-    return lines.select(F.nullif(number, F.lit("")).cast("int").alias("type_id"), F.trim(body[0]).alias("canonical"), F.explode(F.transform(body, F.trim)).alias("phrase"))
+    return lines.select(F.nullif(number, F.lit("")).cast("int").alias("type_id"), F.trim(body[0]).alias("canonical"), F.explode(F.transform(body, lambda w: F.trim(w))).alias("phrase"))
 
 
 def fenced(text, name: str, schema: str):

@@ -248,9 +248,10 @@ def map_values(values: DataFrame, keys: list[str], phrases: list[tuple[str, str]
     exploded = exploded.select(*keys, part_key(F.col("raw")).alias("part")).filter(F.col("part").rlike(r"[\p{L}]{2}"))
     # Most parts are the same few sites, annexes and numbers; one row of each is matched.
     parts = exploded.select("part").distinct()
-    # A part is a few bytes and costs a millisecond: by size alone they would all go to one or two tasks.  Kept, as both
-    # ways of the join below read the result.
+    # A part is a few bytes and costs a millisecond: by size alone they would all go to one or two tasks, and a
+    # repartition by the part itself is taken for the one that the distinct has made.  Kept, as both ways of the join
+    # below read the result.
     width = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(map_parts(parts.repartition(width, "part"), phrases))
+    found = cut(map_parts(parts.repartition(width, F.xxhash64("part")), phrases))
     joined = lookup(exploded, found.select("part", "entry"), ["part"], 4 * rows).filter(F.col("entry").isNotNull())
     return joined.groupBy(*keys).agg(F.min("entry").alias("entry"), F.max("entry").alias("_other")).filter("entry = _other").drop("_other")

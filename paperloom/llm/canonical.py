@@ -134,7 +134,8 @@ def align(words: tuple[str, ...], seen: list[tuple[str, bool]], most: float) ->
                 if places & used:
                     continue
                 c = cost(text, dot, word) + 0.1 * (len(places) - 1) + 0.1 * (n - 1)
-                if n > 1 and len(text) < 0.8 * len(word):
+                # Words run together stand in one run of letters, and an edit too many would hide another word.
+                if n > 1 and (len(places) > 1 or len(text) < 0.8 * len(word) or c >= 2.5):
                     continue
                 if c < 9:
                     go(k + n, used | places, sum_ + c)

@@ -28,9 +28,8 @@ def normalise(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    """Case-blind form of a text: lower case, and one form of the letters whose upper case is that of others."""
-    # Sharp s, final sigma and long s, and what they are folded to.
-    return F.replace(F.translate(F.lower(c), "ςſ", "σs"), F.lit("ß"), F.lit("ss"))
+    """Case-blind form of a text: lower case, and sharp s as the two letters of its upper case."""
+    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
 
 def folded(c: Column) -> Column:

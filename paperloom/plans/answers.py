@@ -60,7 +60,7 @@ def roll_call(spark: SparkSession, folder: str) -> DataFrame:
     return A.roll_call(tasks, back, "readingid", "itemtable")
 
 
-SAME_SQL = f"CASE WHEN {BLANK.format(c='documenttemplateid')} THEN 't:' || documenttemplateid ELSE 'p:' || " + r"trim(regexp_replace(regexp_replace(replace(translate(lower(coalesce(proposedtemplate, '')), 'ςſ', 'σs'), 'ß', 'ss'), '[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g')) END"
+SAME_SQL = f"CASE WHEN {BLANK.format(c='documenttemplateid')} THEN 't:' || documenttemplateid ELSE 'p:' || " + r"trim(regexp_replace(regexp_replace(replace(lower(coalesce(proposedtemplate, '')), 'ß', 'ss'), '[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g')) END"
 SETTLED_SQL = f"""WITH {FAULT_SQL}, same AS (SELECT *, {SAME_SQL} AS same FROM checked WHERE readingid IS NOT NULL),
 settled AS (SELECT readingid, arg_min(struct_pack(t := documenttemplateid, p := proposedtemplate), resultid) FILTER (fault IS NULL) AS f, count(*)::BIGINT AS answers, (count(*) FILTER (fault IS NULL))::BIGINT AS held_up,
   count(DISTINCT same) FILTER (fault IS NULL) AS different, arg_min(fault, resultid) FILTER (fault IS NOT NULL) AS ff FROM same GROUP BY readingid)
@@ -109,7 +109,7 @@ def confidence_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return answers(spark, folder).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("answers"))
 
 
-@query(r"""WITH p AS (SELECT proposedtemplate, trim(regexp_replace(regexp_replace(replace(translate(lower(proposedtemplate), 'ςſ', 'σs'), 'ß', 'ss'), '[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g')) AS k
+@query(r"""WITH p AS (SELECT proposedtemplate, trim(regexp_replace(regexp_replace(replace(lower(proposedtemplate), 'ß', 'ss'), '[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{0085}\p{Z}]+', ' ', 'g')) AS k
   FROM classifications WHERE trim(coalesce(proposedtemplate, '')) <> '') SELECT min(proposedtemplate) AS spelling, count(*)::BIGINT AS documents FROM p GROUP BY k""")
 def proposed_names(spark: SparkSession, folder: str) -> DataFrame:
     return U.proposed_names(answers(spark, folder))

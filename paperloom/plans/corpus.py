@@ -33,7 +33,7 @@ def sql_normal(c: str) -> str:
 
 
 def sql_fold(c: str) -> str:
-    return sql_normal(f"replace(translate(lower({c}), 'ςſ', 'σs'), 'ß', 'ss')")
+    return sql_normal(f"replace(lower({c}), 'ß', 'ss')")
 
 
 def sql_strip(c: str) -> str:
@@ -86,10 +86,10 @@ ident AS (SELECT *, CASE WHEN branch IN (0, 1) THEN 'products' WHEN branch = 2 T
                  nullif(CASE WHEN branch = 3 THEN regexp_extract(name, '^\\d+_([A-Za-z]+)', 1) WHEN branch IS NOT NULL THEN {sql_strip("folders[1]")} END, '') AS identifier,
                  CASE WHEN branch IN (0, 1, 2, 3) THEN folders[2] END AS hint FROM found),
 exact AS (SELECT itemtable, identifier, count(*) AS n, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
-loose AS (SELECT itemtable, replace(translate(lower(identifier), 'ςſ', 'σs'), 'ß', 'ss') AS folded, count(*) AS n, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
+loose AS (SELECT itemtable, replace(lower(identifier), 'ß', 'ss') AS folded, count(*) AS n, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
 met AS (SELECT i.*, coalesce(e.n, l.n) AS n, coalesce(e.item, l.item) AS item FROM ident i
         LEFT JOIN exact e ON e.itemtable = i.itemtable AND e.identifier = i.identifier
-        LEFT JOIN loose l ON l.itemtable = i.itemtable AND l.folded = replace(translate(lower(i.identifier), 'ςſ', 'σs'), 'ß', 'ss')),
+        LEFT JOIN loose l ON l.itemtable = i.itemtable AND l.folded = replace(lower(i.identifier), 'ß', 'ss')),
 resolved AS (SELECT *, CASE WHEN branch IS NULL THEN 'unbranched' WHEN identifier IS NULL THEN 'unidentified' WHEN n IS NULL THEN 'unmatched' WHEN n > 1 THEN 'ambiguous' WHEN item.archived THEN 'archived' END AS why FROM met)
 """
 RESOLVED_SQL = RESOLVED_SQL.replace("\\\\d", "\\d")
@@ -131,7 +131,7 @@ def depth_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return T.depth_histogram(files_tree(spark, folder))
 
 
-@query(f"""WITH {TREE_SQL} SELECT replace(translate(lower(folders[i]), 'ςſ', 'σs'), 'ß', 'ss') AS folder, count(DISTINCT array_to_string(folders[1:i - 1], '/'))::BIGINT AS parents, count(*)::BIGINT AS files
+@query(f"""WITH {TREE_SQL} SELECT replace(lower(folders[i]), 'ß', 'ss') AS folder, count(DISTINCT array_to_string(folders[1:i - 1], '/'))::BIGINT AS parents, count(*)::BIGINT AS files
 FROM (SELECT folders, unnest(range(1, len(folders) + 1)) AS i FROM tree) GROUP BY 1""")
 def folder_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return T.folder_candidates(files_tree(spark, folder))
@@ -142,7 +142,7 @@ def extension_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return T.extension_histogram(files_tree(spark, folder))
 
 
-EXCLUDED_SQL = f"""WITH {TREE_SQL}, excluded AS (SELECT *, coalesce('folder ' || list_filter(folders, lambda f: replace(translate(lower(f), 'ςſ', 'σs'), 'ß', 'ss') = 'old')[1], CASE WHEN ext = 'msg' THEN 'extension msg' END) AS why FROM tree)"""
+EXCLUDED_SQL = f"""WITH {TREE_SQL}, excluded AS (SELECT *, coalesce('folder ' || list_filter(folders, lambda f: replace(lower(f), 'ß', 'ss') = 'old')[1], CASE WHEN ext = 'msg' THEN 'extension msg' END) AS why FROM tree)"""
 
 
 def excluded(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,7 +223,7 @@ def item_problems(spark: SparkSession, folder: str) -> DataFrame:
     return V.item_problems(latest_items(spark, folder), TABLES, TEMPLATES)
 
 
-@query("SELECT replace(translate(lower(name), 'ςſ', 'σs'), 'ß', 'ss') AS name, count(*)::BIGINT AS n, array_to_string(list(id ORDER BY id), '|') AS ids FROM document_templates GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT replace(lower(name), 'ß', 'ss') AS name, count(*)::BIGINT AS n, array_to_string(list(id ORDER BY id), '|') AS ids FROM document_templates GROUP BY 1 HAVING count(*) > 1")
 def duplicate_template_names(spark: SparkSession, folder: str) -> DataFrame:
     return V.duplicate_names(table(spark, folder, "document_templates"))
 
@@ -284,7 +284,7 @@ def readings_not_answered_by_form(spark: SparkSession, folder: str) -> DataFrame
     return ids.select("sha", "itemtable", F.col("_in").isNotNull().alias("by_form"))
 
 
-@query(RESOLVED_SQL + """, ex AS (SELECT source, coalesce('folder ' || list_filter(folders, lambda f: replace(translate(lower(f), 'ςſ', 'σs'), 'ß', 'ss') = 'old')[1], CASE WHEN ext = 'msg' THEN 'extension msg' END) AS x, why, itemtable FROM resolved)
+@query(RESOLVED_SQL + """, ex AS (SELECT source, coalesce('folder ' || list_filter(folders, lambda f: replace(lower(f), 'ß', 'ss') = 'old')[1], CASE WHEN ext = 'msg' THEN 'extension msg' END) AS x, why, itemtable FROM resolved)
 SELECT CASE WHEN x IS NOT NULL THEN 'ignored' WHEN why IS NOT NULL THEN 'issue: ' || why ELSE 'data: ' || itemtable END AS sheet, count(*)::BIGINT AS files FROM ex GROUP BY 1""")
 def readme_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The account of all files: a data sheet, ignored, or an issue with its reason."""

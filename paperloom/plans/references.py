@@ -61,14 +61,14 @@ WITH latest AS (
          min(arrivedat) OVER (PARTITION BY id) AS since,
          row_number() OVER (PARTITION BY id ORDER BY arrivedat DESC NULLS LAST, archived DESC NULLS LAST, identifier DESC NULLS LAST) AS k
   FROM items WHERE id IS NOT NULL),
-item AS (SELECT *, replace(translate(lower(regexp_replace(identifier, '^{SPACE}+|{SPACE}+$', '', 'g')), 'ςſ', 'σs'), 'ß', 'ss') AS folded FROM latest WHERE k = 1),
+item AS (SELECT *, replace(lower(regexp_replace(identifier, '^{SPACE}+|{SPACE}+$', '', 'g')), 'ß', 'ss') AS folded FROM latest WHERE k = 1),
 dims AS (
   SELECT 'itemId' AS fieldname, '' AS scope, id AS key, bool_and(gone) AS gone, min(since) AS since FROM item GROUP BY id
   UNION ALL SELECT 'identifier', coalesce(itemtable, ''), folded, bool_and(gone), min(since) FROM item WHERE folded <> '' GROUP BY 2, 3
   UNION ALL SELECT 'documentTemplateId', '', id, bool_and(retiredat IS NOT NULL), min(addedat) FROM document_templates GROUP BY id),
 refs AS (
   SELECT 'itemId' AS fieldname, '' AS scope, itemid AS key, itemid AS raw, resultid, classifiedat FROM classifications
-  UNION ALL SELECT 'identifier', coalesce(itemtable, ''), replace(translate(lower(regexp_replace(identifier, '^{SPACE}+|{SPACE}+$', '', 'g')), 'ςſ', 'σs'), 'ß', 'ss'), identifier, resultid, classifiedat FROM classifications
+  UNION ALL SELECT 'identifier', coalesce(itemtable, ''), replace(lower(regexp_replace(identifier, '^{SPACE}+|{SPACE}+$', '', 'g')), 'ß', 'ss'), identifier, resultid, classifiedat FROM classifications
   UNION ALL SELECT 'documentTemplateId', '', documenttemplateid, documenttemplateid, resultid, classifiedat FROM classifications),
 orphans AS (
   SELECT r.fieldname, r.resultid, r.classifiedat,

@@ -20,7 +20,7 @@ def proposals(spark: SparkSession, folder: str) -> DataFrame:
 SQL = r"""
 WITH parts AS (
   SELECT resultid, sessionid, list_sort(list_filter(list_transform(string_split_regex(proposedtemplate, '[;|/]'),
-           lambda p: regexp_replace(replace(translate(lower(p), 'ςſ', 'σs'), 'ß', 'ss'), '[^\p{L}\p{N}]+', '', 'g')), lambda p: p <> '')) AS form
+           lambda p: regexp_replace(replace(lower(p), 'ß', 'ss'), '[^\p{L}\p{N}]+', '', 'g')), lambda p: p <> '')) AS form
   FROM classifications WHERE proposedtemplate IS NOT NULL),
 kept AS (SELECT resultid, sessionid, form, min(resultid) OVER (PARTITION BY sessionid, form) AS firstid FROM parts WHERE len(form) > 0)
 """

@@ -93,3 +93,17 @@ def match_rates(resolved: DataFrame, branches: list[Branch]) -> DataFrame:
     )
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in got.columns if c != "branch"]
     return every.join(got, "branch", "left").select("prefix", *zero)
+
+
+def tables_of_forms(resolved: DataFrame, members: DataFrame) -> DataFrame:
+    """(form, tables): the tables that the files of a form's members belong to, sorted.
+
+    resolved: sha, itemtable; members: form, sha.
+    """
+    each = members.join(resolved.filter(F.col("itemtable").isNotNull()).select("sha", "itemtable").distinct(), "sha").select("form", "itemtable").distinct()
+    return each.groupBy("form").agg(F.array_join(F.array_sort(F.collect_list("itemtable")), "|").alias("tables"))
+
+
+def wanted_uploads(uploads: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The uploaded files whose content somebody asked for; files nobody asked for are left out.  Both: sha."""
+    return uploads.join(wanted.select("sha").distinct(), "sha", "left_semi")

@@ -321,3 +321,17 @@ def missing_inputs(spark: SparkSession, folder: str) -> DataFrame:
     files = table(spark, folder, "files").select("path").withColumn("_f", F.lit(True))
     e = table(spark, folder, "extracted").select("extractid", blank_to_null(F.col("path")).alias("path"))
     return e.join(files, "path", "left").select("extractid", F.col("_f").isNotNull().alias("there"))
+
+
+@query(RESOLVED_SQL + """, m AS (SELECT DISTINCT formkey AS form, unnest(members) AS sha FROM forms), e AS (SELECT DISTINCT m.form, r.itemtable FROM m JOIN resolved r ON r.sha = m.sha WHERE r.itemtable IS NOT NULL)
+SELECT form, array_to_string(list(itemtable ORDER BY itemtable), '|') AS tables FROM e GROUP BY form""")
+def tables_of_forms(spark: SparkSession, folder: str) -> DataFrame:
+    members = table(spark, folder, "forms").select(F.col("formkey").alias("form"), F.explode(F.array_distinct("members")).alias("sha"))
+    return J.tables_of_forms(attachments(spark, folder), members)
+
+
+@query("SELECT path, sha FROM files WHERE sha IN (SELECT sha FROM classifications WHERE coalesce(documenttemplateid, '') <> '')")
+def wanted_uploads(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of which an answered row wants the content."""
+    wanted = table(spark, folder, "classifications").filter(F.coalesce("documenttemplateid", F.lit("")) != "")
+    return J.wanted_uploads(table(spark, folder, "files").select("path", "sha"), wanted)

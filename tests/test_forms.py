@@ -113,3 +113,14 @@ def test_wording_and_inside(spark):
     texts = spark.createDataFrame([("a", "one and two"), ("b", "one")], "sha string, text string")
     rules = spark.createDataFrame([("f", ["ONE", "TWO"])], "form string, wording array<string>")
     assert {(r["sha"], r["has"]) for r in O.wording_split(members, texts, rules).collect()} == {("a", True), ("b", False)}
+
+
+def test_stricter_thresholds(spark):
+    rows = [("a", ["A", "B", "C", "D"]), ("b", ["A", "B", "C", "D", "E"]), ("c", ["A", "B", "C", "X"]), ("d", ["A", "B", "C", "X", "Y"])]
+    signed = spark.createDataFrame(rows, "sha string, signature array<string>")
+    members = spark.createDataFrame([("a", True), ("b", True), ("c", False), ("d", False)], "sha string, marked boolean")
+    assert O.leader_clusters(signed, FormOptions(threshold=0.4)).select("seed").distinct().count() == 1
+    assert O.threshold_split(members, signed, 0.7).select("seed").distinct().count() == 2
+    assert O.separating_threshold(members, signed, (0.4, 0.7, 0.9)) == 0.7
+    assert O.separating_threshold(spark.createDataFrame([("a", True), ("a", False)], "sha string, marked boolean"), signed, (0.6,)) is None
+    assert O.too_small(3) and O.too_small(40) is None

@@ -6,11 +6,12 @@ import difflib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import folded, folded_hard
 from paperloom.options import AnswerOptions
+from paperloom.sources.tables import cut
 
 
 def one_at_a_time(answers: DataFrame) -> DataFrame:
@@ -97,27 +98,47 @@ def nearest_names(titles: DataFrame, names: list[tuple[str, str]], options: Answ
     return titles.mapInPandas(run, "title string, name string, score double, place int")
 
 
-def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = AnswerOptions()) -> DataFrame:
+def _without(c: Column, places: int) -> Column:
+    """The text and all that is left of it when up to so many (1 or 2) characters are taken out."""
+    n = F.length(c)
+    out = lambda text, k: F.concat(F.substring(text, F.lit(1), k - 1), F.substring(text, k + 1, F.length(text)))
+    once = F.transform(F.sequence(F.lit(1), n), lambda k: out(c, k))
+    if places == 1:
+        return F.array_distinct(F.concat(F.array(c), once))
+    twice = F.flatten(F.transform(once, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda k: out(t, k))))
+    return F.array_distinct(F.concat(F.array(c), once, twice))
+
+
+def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = AnswerOptions(), longest: int = 40) -> DataFrame:
     """(itemtable, identifier, near, ratio, place): unmatched identifiers and the most similar ones of their table.
 
-    A ratio of 0.8 leaves blocks of matching characters that short identifiers share whole, so both meet in a join on
-    runs of three characters first; identifiers under three characters meet as a whole.  values, index: itemtable,
-    identifier.
+    Identifiers of one table look alike (``RM-00000123``), so parts of them select nothing.  Two that differ by few
+    characters are equal once these are taken out of both: they meet in a join on what is left with one character out,
+    and, only for those that found too few so, with two out.  What differs by more than two characters on either side is
+    no near miss here.  values, index: itemtable, identifier; blank ones and those over ``longest`` characters are not
+    looked up.
     """
-    pairs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda k: F.substring(c, k, F.lit(3))))
-    left = values.distinct().withColumn("g", F.explode(pairs(F.col("identifier"))))
-    right = index.select("itemtable", F.col("identifier").alias("near")).distinct().withColumn("g", F.explode(pairs(F.col("near"))))
-    shared = left.join(right, ["itemtable", "g"]).groupBy("itemtable", "identifier", "near").agg(F.count("*").alias("n"))
-    close = shared.filter(F.col("n") * 2 >= F.greatest(F.length("identifier"), F.length("near")) - 6)
+    some = lambda df: df.select("itemtable", "identifier").filter((F.col("identifier") != "") & (F.length("identifier") <= longest)).distinct()
+    index = some(index).withColumnRenamed("identifier", "near")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             pdf["ratio"] = [difflib.SequenceMatcher(None, b, a).ratio() for a, b in zip(pdf["identifier"], pdf["near"])]
             yield pdf[["itemtable", "identifier", "near", "ratio"]]
 
-    scored = close.select("itemtable", "identifier", "near").mapInPandas(run, "itemtable string, identifier string, near string, ratio double").filter(F.col("ratio") >= options.near_miss)
+    def close(wanted: DataFrame, places: int) -> DataFrame:
+        left = wanted.withColumn("_left", F.explode(_without(F.col("identifier"), places)))
+        right = index.withColumn("_left", F.explode(_without(F.col("near"), places)))
+        pairs = left.join(right, ["itemtable", "_left"]).select("itemtable", "identifier", "near").distinct()
+        return pairs.mapInPandas(run, "itemtable string, identifier string, near string, ratio double").filter(F.col("ratio") >= options.near_miss)
+
+    wanted = some(values)
+    first = cut(close(wanted, 1))
+    enough = first.groupBy("itemtable", "identifier").count().filter(F.col("count") >= options.nearest)
+    rest = wanted.join(enough, ["itemtable", "identifier"], "left_anti").select("itemtable", "identifier")
+    found = first.unionByName(close(rest, 2)).distinct()
     k = F.row_number().over(Window.partitionBy("itemtable", "identifier").orderBy(F.desc("ratio"), "near"))
-    return scored.withColumn("place", k).filter(F.col("place") <= options.nearest)
+    return found.withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
 def proposed_names(answers: DataFrame) -> DataFrame:

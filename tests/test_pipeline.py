@@ -172,3 +172,20 @@ def test_review(spark):
     assert [tuple(r) for r in V.failure_rates(shown, marks).collect()] == [("f", 8, 1, 1)]
     outcome = V.outcome(F.col("v"), F.lit(1), F.lit(8), F.lit(None).cast("string"), F.lit(False), F.lit(None).cast("double"))
     assert one(spark, outcome, v="ok") == "marked read alone" and one(spark, outcome, v="mixed") == "dissolved"
+
+
+def test_near_misses_are_those_of_a_full_comparison(spark):
+    import difflib
+
+    rng = random.Random(8)
+    index = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(120)})
+    wanted = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(40)} - set(index)) + ["RM-0001", "XX", ""]
+    df = lambda rows: spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string")
+    got = {}
+    for r in U.near_misses(df(wanted), df(index)).orderBy("place").collect():
+        got.setdefault(r["identifier"], []).append(r["near"])
+    for w in wanted:
+        scored = sorted(((difflib.SequenceMatcher(None, x, w).ratio(), x) for x in index), key=lambda p: (-p[0], p[1]))
+        want = [x for s, x in scored[:3] if s >= 0.8 and w]
+        if len(w) == 9:
+            assert got.get(w, []) == want, (w, got.get(w), want)

@@ -85,7 +85,7 @@ def forms_leader_clustering(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def form_sweep(spark: SparkSession, folder: str) -> DataFrame:
     once = cut(texts(spark, folder))
-    return O.sweep(cut(O.with_parts(O.words_of(once), OPTIONS)), once, once.count(), SWEEP_FLOORS[1:3], SWEEP_THRESHOLDS[1:3])
+    return O.sweep(cut(O.with_parts(O.words_of(once), OPTIONS)), once, once.count(), SWEEP_FLOORS, SWEEP_THRESHOLDS)
 
 
 def given_members(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paperloom.operators import forms as O
-from paperloom.options import FormOptions
+from paperloom.options import SWEEP_FLOORS, SWEEP_THRESHOLDS, FormOptions
+from paperloom.plans.forms import form_sweep
 
 
 def walk(signed, threshold):
@@ -124,3 +125,22 @@ def test_stricter_thresholds(spark):
     assert O.separating_threshold(members, signed, (0.4, 0.7, 0.9)) == 0.7
     assert O.separating_threshold(spark.createDataFrame([("a", True), ("a", False)], "sha string, marked boolean"), signed, (0.6,)) is None
     assert O.too_small(3) and O.too_small(40) is None
+
+
+def test_the_sweep_tries_every_setting(spark, tmp_path):
+    rng = random.Random(5)
+    words = [a + b + c for a in "ABC" for b in "DEF" for c in "GHI"]
+    texts = {f"s{i:02d}": " ".join(rng.sample(words[: rng.choice([6, 12, 27])], rng.randint(2, 6))) for i in range(40)}
+    spark.createDataFrame([(k, k) for k in texts], "path string, sha string").write.parquet(f"{tmp_path}/files.parquet")
+    spark.createDataFrame(list(texts.items()), "path string, textfile string").write.parquet(f"{tmp_path}/extracted.parquet")
+    got = {(r["floor"], r["threshold"]): (r["forms"], r["largest"], r["single"], r["median_words"]) for r in form_sweep(spark, str(tmp_path)).collect()}
+    want = {}
+    for floor in SWEEP_FLOORS:
+        least = max(2, round(floor * len(texts)))
+        kept = {w for w in words if sum(w in t.split() for t in texts.values()) >= least}
+        signed = {k: set(t.split()) & kept for k, t in texts.items()}
+        for threshold in SWEEP_THRESHOLDS:
+            seeds = [seed for seed, _ in walk(signed, threshold).values()]
+            sizes = [seeds.count(s) for s in set(seeds)]
+            want[floor, threshold] = (len(sizes), max(sizes), sizes.count(1), sorted(map(len, signed.values()))[len(texts) // 2])
+    assert len(want) == 20 and got == want

@@ -39,7 +39,6 @@ SAMPLE_LINES, SAMPLE_WORDS = 20_000, 1_500
 #: A word this many times rarer than a neighbour by a scanner's confusion is not vouched for.
 RARER = 20
 COUNT_AT_ONCE = 300_000
-CANDIDATES = 4
 ACCEPT = 0.5
 #: Longest word that is looked up.
 LONGEST = 48
@@ -291,8 +290,8 @@ def grams(word):
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda k: F.substring(padded, k, F.lit(2))))
 
 
-def candidates(words: DataFrame, lexicon: DataFrame, most: int = 24) -> DataFrame:
-    """(word, near): the lexicon's words that share most q-grams with each word, by a join of inverted lists.
+def candidates(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(word, near): all of the lexicon's words that share enough q-grams with each word, by a join of inverted lists.
 
     A word damaged by one or two confusions keeps at least half of its bigrams; with fewer shared there is no candidate.
     """
@@ -301,7 +300,7 @@ def candidates(words: DataFrame, lexicon: DataFrame, most: int = 24) -> DataFram
     held = lexicon.withColumn("grams", grams(F.col("name"))).select("name", size.alias("m"), F.explode("grams").alias("gram"))
     pairs = seen.join(F.broadcast(held), "gram").filter(F.abs(F.col("n") - F.col("m")) <= 3).groupBy("word", "name", "n", "m").agg(F.count("*").alias("shared"))
     good = pairs.filter(F.col("shared") * 2 + 4 >= F.greatest("n", "m"))
-    ranked = F.slice(F.sort_array(F.collect_list(F.struct("shared", "name")), asc=False), 1, most)
+    ranked = F.sort_array(F.collect_list(F.struct("shared", "name")), asc=False)
     return good.groupBy("word").agg(ranked["name"].alias("near"))
 
 
@@ -394,21 +393,23 @@ def corrections(suspects: DataFrame, known: Known) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, model = held.value
-        for batch in batches:
-            rows, which = [], []
-            for word, near, n in zip(*(c.to_pylist() for c in batch.columns)):
-                # The nearest few are described in full.
-                close = sorted((v for v in near if abs(len(v) - len(word)) <= 2), key=lambda v: (edits(word, v, 3), -counts[v]))[:CANDIDATES]
-                for v in close:
-                    if edits(word, v, 3) <= 3 and counts[v] >= 2 * n:
-                        rows.append(describe(word, n, v, counts[v]))
-                        which.append((word, v))
-            score = model.probability(np.array(rows)) if rows else np.zeros(0)
-            best: dict[str, tuple[float, str]] = {}
-            for (word, v), p in zip(which, score.tolist()):
-                if p > best.get(word, (ACCEPT, ""))[0]:
-                    best[word] = (p, v)
-            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.string()), pa.array([v for _, v in best.values()], pa.string()), pa.array([p for p, _ in best.values()], pa.float64())], ["word", "replacement", "score"])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 200):
+                batch = whole.slice(begin, 200)
+                rows, which = [], []
+                for word, near, n in zip(*(c.to_pylist() for c in batch.columns)):
+                    # All near ones are described; of equals the fewest edits and then the most frequent comes first.
+                    close = ((edits(word, v, 3), -counts[v], v) for v in near if abs(len(v) - len(word)) <= 2 and counts[v] >= 2 * n)
+                    for far, _, v in sorted(close):
+                        if far <= 3:
+                            rows.append(describe(word, n, v, counts[v]))
+                            which.append((word, v))
+                score = model.probability(np.array(rows)) if rows else np.zeros(0)
+                best: dict[str, tuple[float, str]] = {}
+                for (word, v), p in zip(which, score.tolist()):
+                    if p > best.get(word, (ACCEPT, ""))[0]:
+                        best[word] = (p, v)
+                yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.string()), pa.array([v for _, v in best.values()], pa.string()), pa.array([p for p, _ in best.values()], pa.float64())], ["word", "replacement", "score"])
 
     return met.select("word", "near", "n").mapInArrow(run, "word string, replacement string, score double")
 

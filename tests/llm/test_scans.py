@@ -1,10 +1,12 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
 
 from paperloom.llm.boost import Boosted
 from paperloom.llm.pages import division, fit_joins, is_furniture, lines_of
-from paperloom.llm.scans import candidates, path_of, repaired, scan_faults, vouched
+from paperloom.llm import scans as S
+from paperloom.llm.scans import CONFUSED, candidates, path_of, repaired, scan_faults, vouched
 
 WORDS = "the responsible authority identifies a documented contamination threshold during storage while inspector records packing material for every batch under normal conditions".split()
 
@@ -98,6 +100,32 @@ def test_candidates_hold_the_original(spark):
     assert {r["word"]: r["near"] for r in candidates(words, lexicon).collect()} == {"durinq": ["during"]}
 
 
+def test_every_near_word_is_a_candidate(spark):
+    near = ["tnat", "tnatea"] + [f"tnate{c}" for c in "bcdefghijklmnopqrstuvwxyz"]
+    words, lexicon = spark.createDataFrame([("tnate",)], "word string"), spark.createDataFrame([(w,) for w in [*near, "mate"]], "name string")
+    assert set(candidates(words, lexicon).first()["near"]) == {*near, "mate"}
+
+
+def test_one_confusion_away_is_a_candidate(spark):
+    rng, pairs = random.Random(2), set()
+    for seen, real in CONFUSED:
+        for n in (0, 1, 2, 5):
+            a, b = ("".join(rng.choices("abcdefgh", k=k)) for k in (n, rng.randint(1, 3)))
+            pairs.add((a + seen + b, a + real + b))
+    words = spark.createDataFrame([(w,) for w in sorted({s for s, _ in pairs})], "word string")
+    lexicon = spark.createDataFrame([(w,) for w in sorted({r for _, r in pairs})], "name string")
+    got = {r["word"]: set(r["near"]) for r in candidates(words, lexicon).collect()}
+    assert [(s, r) for s, r in sorted(pairs) if r not in got.get(s, ())] == []
+
+
+def test_two_characters_for_one_meet_the_trees_among_nearer_words(spark, monkeypatch):
+    rows = [[a, b, *[float(x) for x in np.random.default_rng(k).random(9)]] for k in range(20) for a in range(3) for b in range(4)]
+    monkeypatch.setattr(S, "fit_ranking", lambda *_: Boosted().fit(np.array(rows), np.array([int(r[0] == 1 and r[1] == 0) for r in rows])))
+    words = {"mate": 100, "tate": 100, "nate": 100, "inate": 100, "tnat": 100, "tnates": 100}
+    found = S.corrections(spark.createDataFrame([("tnate", 1)], "word string, n bigint"), SimpleNamespace(words=words, trusted=frozenset(words)))
+    assert [(r["word"], r["replacement"]) for r in found.collect()] == [("tnate", "mate")]
+
+
 def test_boosting_learns_a_rule():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 4))

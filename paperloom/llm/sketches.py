@@ -197,24 +197,31 @@ def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     return same.unionByName(across.select("origin", F.least("x", "y").alias("firstkey"), F.greatest("x", "y").alias("secondkey")))
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(origin, key, group): for each linked class the smallest class that links reach, by label propagation.
+def components(links: DataFrame) -> DataFrame:
+    """(origin, key, group): for each linked class the smallest class that links reach, by contraction.
 
-    A round gives every node the smallest label of itself and its neighbours, then the label of that label; chains
-    halve, so the rounds are about the logarithm of the longest chain.
+    A round hooks each label to the smallest label beside it, follows the hooks to their roots, whose number of joins is
+    the logarithm of the longest chain of hooks, and keeps the links between different roots.  Of two rounds each label
+    is hooked or hooked to in at least one, so the rounds are about the logarithm of the largest group.  It ends when no
+    link is left, never before.
     """
     both = links.select("origin", F.col("a").alias("x"), F.col("b").alias("y"))
-    edges = cut(both.unionByName(both.select("origin", F.col("y").alias("x"), F.col("x").alias("y"))))
-    labels = cut(edges.groupBy("origin", F.col("x").alias("key")).agg(F.min("y").alias("g")).select("origin", "key", F.least("key", "g").alias("group")))
-    for _ in range(most_rounds):
-        near = edges.join(labels.withColumnsRenamed({"key": "y", "group": "g"}), ["origin", "y"]).groupBy("origin", F.col("x").alias("key")).agg(F.min("g").alias("g"))
-        step = labels.join(near, ["origin", "key"]).select("origin", "key", F.least("group", "g").alias("group"), F.col("group").alias("old"))
-        jump = step.select("origin", F.col("key").alias("group"), F.col("group").alias("further"))
-        fresh = cut(step.join(jump, ["origin", "group"], "left").select("origin", "key", F.least("group", F.coalesce("further", "group")).alias("group"), "old"))
-        done = fresh.filter("group <> old").isEmpty()
-        labels = fresh.drop("old")
-        if done:
-            break
+    edges = cut(both.unionByName(both.select("origin", F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    labels = cut(edges.select("origin", F.col("x").alias("key"), F.col("x").alias("group")).distinct())
+    edges = edges.filter("x <> y")
+    while not edges.isEmpty():
+        hooks = cut(edges.groupBy("origin", F.col("x").alias("group")).agg(F.min("y").alias("y")).select("origin", "group", F.least("group", "y").alias("root")))
+        while True:
+            further = hooks.select("origin", F.col("group").alias("root"), F.col("root").alias("further"))
+            fresh = cut(hooks.join(further, ["origin", "root"]).select("origin", "group", "root", "further"))
+            done = fresh.filter("further <> root").isEmpty()
+            hooks = fresh.select("origin", "group", F.col("further").alias("root"))
+            if done:
+                break
+        labels = cut(labels.join(hooks, ["origin", "group"], "left").select("origin", "key", F.coalesce("root", "group").alias("group")))
+        for end in ("x", "y"):
+            edges = edges.join(hooks.withColumnRenamed("group", end), ["origin", end]).drop(end).withColumnRenamed("root", end)
+        edges = cut(edges.filter("x <> y").distinct())
     return labels
 
 

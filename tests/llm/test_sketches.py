@@ -63,6 +63,16 @@ def test_a_chain_is_one_group(spark):
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
 
 
+def test_chains_in_any_order_are_one_group(spark):
+    rng = random.Random(6)
+    paths = {"down": [1, *range(70, 1, -1)], "random": rng.sample(range(1_000), 40)}
+    star = [("star", k, 900) for k in range(30)] + [("star", k, 901) for k in range(25, 50)]
+    rows = [(o, min(a, b), max(a, b)) for o, p in paths.items() for a, b in zip(p, p[1:])] + star
+    got = {(r["origin"], r["key"]): r["group"] for r in S.components(spark.createDataFrame(rows, "origin string, a bigint, b bigint")).collect()}
+    want = {(o, k): min(p) for o, p in paths.items() for k in p} | {("star", k): 0 for k in [*range(50), 900, 901]}
+    assert got == want
+
+
 def test_nothing_and_nulls(spark):
     members, links = S.near_duplicates(frame(spark, {1: frozenset(["a"])}), 5, T)
     assert members.count() == 0 and links.count() == 0

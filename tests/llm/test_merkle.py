@@ -42,3 +42,8 @@ def test_one_group_with_most_rows(spark):
     rows = spark.range(40_000).select(F.col("id"), F.lit("s").alias("s"), F.array(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))).alias("r"))
     got = merkle.copies(merkle.records(rows, "id", "s", "r"), 40_000)
     assert got.count() == 13_333 and got.select("first").distinct().collect()[0][0] == 0
+
+
+def test_letters_of_one_upper_case_meet(spark):
+    rows = [(1, "s", ["ΟΔΟΣ"]), (2, "s", ["οδος"]), (3, "s", ["οδοσ"]), (4, "s", ["MASS"]), (5, "s", ["maſs"]), (6, "s", ["maß"])]
+    assert firsts(spark, rows) == {(1, 2), (1, 3), (4, 5), (4, 6)}

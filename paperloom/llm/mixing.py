@@ -41,20 +41,22 @@ def mix(sized: DataFrame, targets: DataFrame, budget: int | None = None, seed: i
     wanted = {r[0]: (float(r[1]), int(r[2])) for r in targets.select("source", "share", "maxrepeats").collect() if r[0] is not None and r[1] and r[2] and r[1] > 0 and r[2] > 0}
     spark = sized.sparkSession
     used = sized.filter(F.col("tokens") > 0).join(targets.select("source"), "source", "left_semi")
-    have = {r[0]: int(r[1]) for r in used.groupBy("source").agg(F.sum("tokens")).collect() if r[0] in wanted}
+    sums = [r for r in used.groupBy("source").agg(F.sum("tokens"), F.max("tokens")).collect() if r[0] in wanted]
+    have = {r[0]: int(r[1]) for r in sums}
     scale = sum(wanted[s][0] for s in have)
     plan = {s: (wanted[s][0] / scale, float(have[s] * wanted[s][1])) for s in have}
     total = budget if budget is not None else int(min((c / w for w, c in plan.values()), default=0))
     time = level(total, plan) if plan else 0.0
+    # One document later in every source the budget is used up, so the total decides before that; 1 is for rounding.
+    late = (time + max((r[2] / plan[r[0]][0] for r in sums), default=0.0)) * (1 + 1e-9) + 1
     # How often a source is gone through until then; never more than it may be.
-    rows = [(s, plan[s][0], have[s], min(wanted[s][1], int(time * plan[s][0] / have[s]) + 1)) for s in sorted(plan)]
+    rows = [(s, plan[s][0], have[s], min(wanted[s][1], int(late * plan[s][0] / have[s]) + 1)) for s in sorted(plan)]
     rates = spark.createDataFrame(rows, "source string, weight double, per_pass bigint, passes int")
     shuffled = used.join(F.broadcast(rates), "source").withColumn("_place", F.xxhash64("doc_id", F.lit(seed)))
     summed = running_sum(shuffled, ["source"], ["_place", "doc_id"], "tokens", "_upto")
     copies = summed.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("passes"))))
     copies = copies.withColumn("finish", ((F.col("repeat") - 1) * F.col("per_pass") + F.col("_upto")) / F.col("weight"))
-    # A copy that finishes later than all can be taken has no place; the margin is for rounding and a last document.
-    near = copies.filter(F.col("finish") <= F.lit(time * (1 + 1e-9) + 1)).select("doc_id", "source", "repeat", "tokens", "finish", F.lit(0).alias("_all"))
+    near = copies.filter(F.col("finish") <= F.lit(late)).select("doc_id", "source", "repeat", "tokens", "finish", F.lit(0).alias("_all"))
     taken = running_sum(near, ["_all"], ["finish", "source", "repeat", "doc_id"], "tokens", "total")
     return taken.filter(F.col("total") <= F.lit(total)).drop("_all")
 

@@ -57,3 +57,12 @@ def test_nothing_to_mix(spark):
 def test_level():
     assert level(10, {"a": (0.5, 100), "b": (0.5, 100)}) == 10
     assert level(30, {"a": (0.5, 5), "b": (0.5, 100)}) == 50
+
+
+def test_documents_over_the_level_are_taken_while_they_fit(spark):
+    docs = {**{k: ("a", 100) for k in range(4)}, **{100 + k: ("b", 1) for k in range(200)}}
+    targets = {"a": (0.5, 1), "b": (0.5, 3)}
+    sized, wanted = frames(spark, docs, targets)
+    order = {r[0]: r[1] for r in sized.selectExpr("doc_id", "xxhash64(doc_id, 0) h").collect()}
+    got = mix(sized, wanted, 150).orderBy("total").collect()
+    assert [(r["doc_id"], r["repeat"]) for r in got] == plain(docs, targets, order, 150)

@@ -29,8 +29,8 @@ from paperloom.sources.tables import cut
 
 #: Phrases of a list that is broadcast to all workers; a longer list is refused, as it needs another index.
 MOST_PHRASES = 100_000
-#: Least cosine of a candidate, and how many are aligned.
-COSINE, CANDIDATES = 0.3, 12
+#: Least cosine of a candidate; all of that are aligned.
+COSINE = 0.3
 #: Most that an accepted alignment may cost, an edit of a character costing 1; least lead on the next other entry.
 MOST_COST, MARGIN = 3.3, 0.5
 # Characters that scanners take for letters.
@@ -196,7 +196,7 @@ class Index:
                 # Grams that no phrase has weigh nothing: what stands around a name must not hide it.
                 score = weight @ (self.matrix[cells]) / np.sqrt((weight**2).sum())
                 top = np.flatnonzero(score >= COSINE)
-                yield top[np.argsort(-score[top], kind="stable")][:CANDIDATES].tolist()
+                yield top[np.argsort(-score[top], kind="stable")].tolist()
 
     def match(self, part: str, candidates: list[int]) -> tuple[str | None, float]:
         """(entry, cost) that the part stands for."""

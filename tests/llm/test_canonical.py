@@ -38,3 +38,8 @@ def test_index_reaches_what_a_full_comparison_reaches():
 
 def test_edits():
     assert edits("abcd", "acbd") == 1 and edits("abc", "abc") == 0 and edits("abcdef", "xyz", 2) == 3 and edits("", "ab", 2) == 2
+
+
+def test_every_phrase_over_the_cosine_is_aligned():
+    index = Index([(f"Colour Drift Record {w}", w) for w in "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi".split()])
+    assert sorted(next(index.candidates(["colour drift record"]))) == list(range(16))

@@ -5,17 +5,23 @@ most frequent elements, which is bounded in size whatever the input; all others
 sketch is its bottom k in that order, with k = n - ceil(t n) + 1 for a set of n elements and threshold t: two sets at or
 over t then share at least one retained value, so the inverted lists miss no pair.
 
-Inverted lists longer than a limit are refined: two sets that first meet in such a value must meet in a second one of
-the first k + 1 too, so such a value is listed together with each of the values that follow it there.  Lists are joined
-in partitions by value; nothing is capped.
+The length of the sketch so follows from the set's size (it is the prefix of prefix filtering); a fixed k would miss
+pairs of large sets.
+
+Inverted lists of ``LONG_LIST`` and more postings are refined, whatever their share of the input: two sets that first
+meet in such a value must meet in a second one of the first k + 1 too, so such a value is listed together with each of
+the values that follow it there.  The long values are broadcast while they are few and joined to their sets beyond
+that.  Lists are joined in partitions by value; nothing is capped.
 
 In the join each pair is held against two bounds that lose no pair: what can still be shared beyond the place in both
 orders, and the 256-bit parity bitmap of each whole set, whose differing bits never exceed the differing elements.
-What is left is estimated from the union of the two sketches' plain bottom values, with five standard deviations of
-allowance, and then verified by exact Jaccard.
+What is left is estimated from the union of the two sketches' plain bottom values and then verified by exact Jaccard.
+The estimate has an allowance of five standard deviations, so of the pairs that lie just at the threshold it may lose
+one in about three million, and far fewer above it.
 
-Equal sets are collapsed to a class first; only class representatives are compared.  Null elements, null sets and sets
-below the least size are left out; repeated elements count once; rows repeated under one key are one row.
+Elements are compared as 64-bit hashes, sets as two more hashes of those and their size.  Equal sets are collapsed to a
+class first; only class representatives are compared.  Null elements, null sets and sets below the least size are left
+out; repeated elements count once; rows repeated under one key are one row.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.operators.skew import lookup
 from paperloom.sources.tables import cut
 
 #: An element is common from this share of all elements; so the table of common ones has at most 1 / COMMON rows.
@@ -38,6 +45,8 @@ LONG_LIST = 4_000
 BROADCAST_ROWS = 300_000
 #: Plain bottom values for the estimate.
 BOTTOM = 32
+#: Rows of a class that are paired in one group; larger classes are paired in several.
+CLASS_BLOCK = 2_000
 
 
 def word_set(text):
@@ -46,7 +55,7 @@ def word_set(text):
 
 
 def classes(sets: DataFrame, least: int) -> DataFrame:
-    """(origin, key, class, hashes): each set of enough elements beside the smallest key with an equal set.
+    """(origin, key, hashes, same): each set of enough elements, its sorted hashes, and what equal sets have in common.
 
     sets: origin, key bigint, elements array<string> without repeats and nulls.
     """
@@ -65,6 +74,7 @@ def _rank(values: np.ndarray, common: np.ndarray, places: np.ndarray) -> np.ndar
 
 
 def _postings(common_var, long_var, threshold: Fraction):
+    """Batches of (origin, key, hashes[, long]) to postings; long: those of the hashes whose lists are long."""
     num, den = threshold.numerator, threshold.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,10 +99,19 @@ def _postings(common_var, long_var, threshold: Fraction):
                 words = np.packbits(odd.reshape(len(size), 256), axis=1, bitorder="little").view(np.int64)
                 inside = place < k[row]
                 p = np.flatnonzero(inside)
-                if long_lists is None:
+                own = batch.column(3) if batch.num_columns > 3 else None
+                if long_lists is None and (own is None or own.null_count == len(own)):
                     out_v, out_r, out_p = v[p], row[p], place[p]
                 else:
-                    hot = np.isin(v, long_lists)
+                    if own is None:
+                        hot = np.isin(v, long_lists)
+                    else:
+                        # Long values by set: value and row together.
+                        long_row = np.repeat(np.arange(len(size)), np.diff(own.fill_null([]).offsets.to_numpy()))
+                        long_value = own.fill_null([]).flatten().to_numpy(zero_copy_only=False)
+                        at = np.lexsort((long_value, long_row))
+                        pair = np.rec.fromarrays([row, v], names="r,v")
+                        hot = np.isin(pair, np.rec.fromarrays([long_row[at], long_value[at]], names="r,v"))
                     direct = p[~hot[p]]
                     first, second = [], []
                     for a in p[hot[p]].tolist():
@@ -119,17 +138,25 @@ POSTING = "value bigint, origin string, key bigint, n int, place int, b0 bigint,
 def candidates(sets: DataFrame, threshold: Fraction) -> DataFrame:
     """(origin, a, b) with a < b: every pair of sets that the bounds do not rule out; sets: origin, key, hashes."""
     spark = sets.sparkSession
-    counts = cut(sets.select(F.explode("hashes").alias("value")).groupBy("value").count())
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    rows = counts.filter(F.col("count") >= max(2, int(total * COMMON) + 1)).toArrow()
+    counts = cut(sets.select(F.explode("hashes").alias("value")).groupBy("value").count().filter("count > 1"))
+    elements = sets.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    rows = counts.filter(F.col("count") >= max(2, int(elements * COMMON) + 1)).toArrow()
     value, count = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     order = np.argsort(value)
     places = np.empty(len(value), np.int32)
     places[np.lexsort((value, count))] = np.arange(1, len(value) + 1)
     common = spark.sparkContext.broadcast((value[order], places[order]))
-    long_lists = np.sort(value[count >= LONG_LIST])
-    held = spark.sparkContext.broadcast(long_lists) if len(long_lists) else None
-    lists = sets.select("origin", "key", "hashes").mapInArrow(_postings(common, held, threshold), POSTING)
+    long_values = counts.filter(F.col("count") >= LONG_LIST).select("value")
+    long_count = long_values.count()
+    bare = sets.select("origin", "key", "hashes")
+    if long_count <= BROADCAST_ROWS:
+        held = spark.sparkContext.broadcast(np.sort(long_values.toArrow().column(0).to_numpy())) if long_count else None
+        lists = bare.mapInArrow(_postings(common, held, threshold), POSTING)
+    else:
+        # Which of its values are long is told each set by a join; at most so many as are in its sketch.
+        told = bare.mapInArrow(_postings(common, None, threshold), POSTING).select("origin", "key", "value").join(long_values, "value")
+        told = told.groupBy("origin", "key").agg(F.collect_set("value").alias("long"))
+        lists = bare.join(told, ["origin", "key"], "left").select("origin", "key", "hashes", "long").mapInArrow(_postings(common, None, threshold), POSTING)
     a, b = lists.alias("a"), lists.alias("b")
     n, d = threshold.numerator, threshold.denominator
     both = F.col("a.n") + F.col("b.n")
@@ -177,22 +204,28 @@ def near_duplicates(sets: DataFrame, least: int, threshold: Fraction) -> tuple[D
     """
     if least * threshold <= 1:
         raise ValueError("sets this small can be similar by one element")
-    hashed = classes(sets, least)
+    # Texts are split and hashed once; everything after reads the kept hashes.
+    hashed = cut(classes(sets, least))
     bare = hashed.select("origin", "key", "same")
-    first = bare.groupBy("origin", "same").agg(F.min("key").alias("class"))
-    members = cut(bare.join(first, ["origin", "same"]).select("origin", "key", "class").distinct())
+    several = bare.groupBy("origin", "same").agg(F.min("key").alias("class"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    members = cut(lookup(bare, several, ["origin", "same"], hashed.count()).select("origin", "key", F.coalesce("class", "key").alias("class")).distinct())
     copies = members.filter("key <> class").select("origin", "key")
     one = _by_size(hashed, copies, ["origin", "key"], "left_anti")
     return members, cut(similar(one, threshold))
 
 
-def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(origin, firstkey, secondkey): every similar pair of rows, copies of one text included."""
-    many = members.groupBy("origin", "class").count().filter("count > 1").select("origin", "class")
-    a, b = members.join(many, ["origin", "class"], "left_semi").alias("a"), members.alias("b")
-    same = a.join(b, (F.col("a.origin") == F.col("b.origin")) & (F.col("a.class") == F.col("b.class")) & (F.col("a.key") < F.col("b.key")))
-    same = same.select("a.origin", F.col("a.key").alias("firstkey"), F.col("b.key").alias("secondkey"))
-    across = links.select("origin", "a", "b").join(members.withColumnsRenamed({"class": "a", "key": "x"}), ["origin", "a"])
+def all_pairs(members: DataFrame, links: DataFrame, block: int = CLASS_BLOCK) -> DataFrame:
+    """(origin, firstkey, secondkey): every similar pair of rows, copies of one text included.
+
+    A class is cut into blocks of about ``block`` rows, and its rows meet one block in a group, so a class with a third
+    of all rows is spread over as many tasks as it has blocks.  Links of classes meet the members likewise.
+    """
+    many = members.groupBy("origin", "class").agg(F.count("*").alias("_n")).filter("_n > 1")
+    sized = _by_size(members, many.select("origin", "class", F.ceil(F.col("_n") / block).cast("int").alias("_blocks")), ["origin", "class"], "inner")
+    b = sized.withColumn("_block", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int")).select("origin", "class", "_block", F.col("key").alias("y"))
+    a = sized.select("origin", "class", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"), F.col("key").alias("x"))
+    same = a.join(b, ["origin", "class", "_block"]).filter("x < y").select("origin", F.col("x").alias("firstkey"), F.col("y").alias("secondkey"))
+    across = _by_size(members.withColumnsRenamed({"class": "a", "key": "x"}), links.select("origin", "a", "b"), ["origin", "a"], "inner")
     across = across.join(members.withColumnsRenamed({"class": "b", "key": "y"}), ["origin", "b"])
     return same.unionByName(across.select("origin", F.least("x", "y").alias("firstkey"), F.greatest("x", "y").alias("secondkey")))
 

@@ -33,15 +33,27 @@ def corpus(seed, n=150):
     return out
 
 
-@pytest.mark.parametrize("long_list", [3, 4000])
-def test_every_pair_is_found(spark, monkeypatch, long_list):
+# A value counts as common from a share of all elements; lists are refined from a length of their own, below or above
+# that, whether the long values are few enough to broadcast or not.
+@pytest.mark.parametrize("common, long_list, broadcast", [(1 / 200_000, 3, 300_000), (1 / 200_000, 4000, 300_000), (0.9, 3, 300_000), (0.02, 3, 5), (1 / 200_000, 3, 0)])
+def test_every_pair_is_found(spark, monkeypatch, common, long_list, broadcast):
+    monkeypatch.setattr(S, "COMMON", common)
     monkeypatch.setattr(S, "LONG_LIST", long_list)
+    monkeypatch.setattr(S, "BROADCAST_ROWS", broadcast)
     sets = corpus(long_list)
     members, links = S.near_duplicates(frame(spark, sets), 5, T)
     got = {(r["firstkey"], r["secondkey"]) for r in S.all_pairs(members, links).collect()}
     assert got == brute(sets, 5)
 
 
+def test_a_large_class_is_paired_in_blocks(spark):
+    members = spark.createDataFrame([("o", k, 1) for k in range(1, 60)] + [("o", 100, 100), ("o", 101, 100), ("q", 1, 1)], "origin string, key bigint, class bigint")
+    links = spark.createDataFrame([("o", 1, 100, 3, 4)], "origin string, a bigint, b bigint, shared int, united int")
+    got = [(r["firstkey"], r["secondkey"]) for r in S.all_pairs(members, links, block=7).collect()]
+    keys = [*range(1, 60), 100, 101]
+    assert sorted(got) == [(a, b) for i, a in enumerate(keys) for b in keys[i + 1 :]]
+
+
 def test_exactly_at_the_threshold(spark):
     a = [f"e{i}" for i in range(8)]
     sets = {1: frozenset(a), 2: frozenset(a[:6]), 3: frozenset(a[:5]), 4: frozenset(a)}

@@ -114,10 +114,14 @@ def length_class(words: np.ndarray) -> np.ndarray:
     return np.searchsorted(LENGTHS, words)
 
 
-def _pooled(table: np.ndarray, cells: np.ndarray, sentence: np.ndarray, size: np.ndarray) -> np.ndarray:
-    out = np.empty((len(size), table.shape[1]), np.float32)
-    for k in range(table.shape[1]):
-        out[:, k] = np.bincount(sentence, weights=table[:, k][cells], minlength=len(size))
+def _pooled(table: np.ndarray, cells: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Means of the table's rows over each sentence; occurrences are in the order of their sentences."""
+    out = np.zeros((len(size), table.shape[1]), np.float32)
+    some = np.flatnonzero(size)
+    if len(cells):
+        begin = (np.cumsum(size) - size)[some]
+        for k in range(table.shape[1]):
+            out[some, k] = np.add.reduceat(np.ascontiguousarray(table[:, k])[cells], begin)
     return out / np.maximum(size, 1)[:, None]
 
 
@@ -143,13 +147,17 @@ def fit_sentences(cells, sentence, size, lengths, target, rounds: int = 40, pena
     by_length = np.zeros((len(LENGTHS) + 1, BANDS), np.float32)
     one, two = Adam(table.shape, 0.3), Adam(by_length.shape, 0.1)
     want = np.eye(BANDS, dtype=np.float32)[target]
-    share = 1 / np.maximum(size, 1)
+    share = (1 / np.maximum(size, 1)).astype(np.float32)
+    # Occurrences by cell, so that a gradient is sums of stretches.
+    order = np.argsort(cells, kind="stable")
+    seen, begin = np.unique(cells[order], return_index=True)
+    of = sentence[order]
+    grad = np.zeros_like(table)
     for _ in range(rounds):
-        error = (softmax(_pooled(table, cells, sentence, size) + by_length[lengths]) - want) / len(target)
+        error = (softmax(_pooled(table, cells, size) + by_length[lengths]) - want) / len(target)
         spread = error * share[:, None]
-        grad = np.empty_like(table)
-        for k in range(BANDS):
-            grad[:, k] = np.bincount(cells, weights=spread[:, k][sentence], minlength=CELLS)
+        for k in range(BANDS if len(of) else 0):
+            grad[seen, k] = np.add.reduceat(np.ascontiguousarray(spread[:, k])[of], begin)
         one.step(table, grad + penalty * table)
         grad_l = np.stack([np.bincount(lengths, weights=error[:, k], minlength=len(LENGTHS) + 1) for k in range(BANDS)], axis=1)
         two.step(by_length, grad_l.astype(np.float32) + penalty * by_length)
@@ -159,7 +167,7 @@ def fit_sentences(cells, sentence, size, lengths, target, rounds: int = 40, pena
 def describe(s: Sentences, models, rows: int) -> np.ndarray:
     """Sums for each row from which ``features`` makes its description; sums of parts of a text add up."""
     out = np.zeros((rows, 2, 4 * BANDS + 6))
-    levels = {k: softmax(_pooled(t, *s.cells(k)) + by[length_class(s.words)]) for k, (t, by) in models.items()}
+    levels = {k: softmax(_pooled(t, *s.cells(k)[::2]) + by[length_class(s.words)]) for k, (t, by) in models.items()}
     letters = np.bincount(s.word_sentence, weights=s.word_length, minlength=s.total)
     for short in (0, 1):
         mine = (s.words > 0) & ((s.words < LEAST_WORDS) == bool(short))
@@ -258,9 +266,9 @@ def _stack(parts: list[Sentences]) -> Sentences:
     return out
 
 
-def word_count(text):
-    """Words between white space of any kind."""
-    return F.size(F.filter(F.split(text, r"[\s\x1c-\x1f\u0085\p{Z}]+"), lambda w: w != ""))
+def has_words(text, least: int):
+    """Whether a text has so many words between white space of any kind; reads on only until it has."""
+    return text.rlike(rf"^(?:[\s\x1c-\x1f\x85\p{{Z}}]*+[^\s\x1c-\x1f\x85\p{{Z}}]++){{{least}}}")
 
 
 def graded(documents: DataFrame, labels: DataFrame, least: int, most: int = SAMPLE) -> tuple[list[str], list[int]]:
@@ -269,9 +277,9 @@ def graded(documents: DataFrame, labels: DataFrame, least: int, most: int = SAMP
     median = bands.select("doc_id", F.get("all", F.floor(F.size("all") / 2).cast("int")).alias("band"))
     there = documents.select("doc_id").join(median, "doc_id")
     chosen = there.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(most).drop("_order")
-    joined = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(word_count(F.col("text")) >= least)
-    rows = joined.orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "band").toArrow()
-    return rows.column(0).to_pylist(), rows.column(1).to_pylist()
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "band", has_words(F.col("text"), least).alias("long"), F.xxhash64("doc_id").alias("_order"), "doc_id").toArrow()
+    rows = sorted((r for r in rows.to_pylist() if r["long"]), key=lambda r: (r["_order"], r["doc_id"]))
+    return [r["text"] for r in rows], [r["band"] for r in rows]
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame, least: int) -> DataFrame:
@@ -279,7 +287,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, least: int) -> DataF
     spark = documents.sparkSession
     texts, bands = graded(documents, labels, least)
     key = documents.schema["doc_id"].dataType.simpleString()
-    kept = documents.select("doc_id", "text").filter(word_count(F.col("text")) >= least)
+    kept = documents.select("doc_id", "text").filter(has_words(F.col("text"), least))
     if not texts:
         return kept.select("doc_id", F.lit(None).cast("int").alias("band"))
     held = spark.sparkContext.broadcast(Reader.fit(texts, bands))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from paperloom.llm.reading import Reader, Sentences, graded, reading_levels, word_count
+from paperloom.llm.reading import Reader, Sentences, graded, has_words, reading_levels
 from paperloom.llm.pieces import Block
 from pyspark.sql import functions as F
 
@@ -53,4 +53,12 @@ def test_median_of_grades(spark):
     documents = spark.createDataFrame([(1, "w " * 40)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 2), (1, 5), (1, 3)], "doc_id bigint, band int")
     assert graded(documents, labels, 30)[1] == [3]
-    assert documents.select(word_count(F.col("text"))).first()[0] == 40
+
+
+def test_words_between_white_space(spark):
+    texts = [None, "", " \n", "a", " a b\u00a0c\u2003d ", "a " * 4, "a\x1cb\x85c, d", "a-b c d", "x" * 5000 + " b c"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = [len(t.split()) if t is not None else None for t in texts]
+    for least in (1, 3, 4, 5):
+        got = [r[0] for r in df.select(has_words(F.col("text"), least)).collect()]
+        assert got == [None if n is None else n >= least for n in counts]

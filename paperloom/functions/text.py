@@ -28,9 +28,14 @@ def normalise(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    """Case-blind form of a text: lower case, and one form of the letters whose upper case is that of others."""
-    # Sharp s, final sigma and long s, and what they are folded to.
-    return F.replace(F.translate(F.lower(c), "ςſ", "σs"), F.lit("ß"), F.lit("ss"))
+    """Case-blind form of a text by full case folding: upper case, then lower case, so that letters written as several
+    in upper case are several here too (sharp s, ligatures), long s is s and final sigma sigma; dotless i stays.
+
+    Texts of ASCII letters only need one pass.  Cherokee letters fold to the small ones.
+    """
+    # Letters whose upper case is not what they fold to, with stand-ins that have no case.
+    raised = F.translate(F.upper(F.translate(c, "ẞı", "ß\ue000")), "\ue000", "ı")
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(F.lower(raised), "ς", "σ"))
 
 
 def folded(c: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ from paperloom.functions.text import folded, folded_hard
 from paperloom.options import AnswerOptions
 from paperloom.sources.tables import cut
 
+#: Rows of a list of names up to which it is broadcast; longer lists are joined.
+BROADCAST_NAMES = 100_000
+#: Names, or identifiers, that one task compares a value with at a time.
+NAME_BLOCK = 2_000
+
 
 def one_at_a_time(answers: DataFrame) -> DataFrame:
     """The answers given for single readings: not by form, with a reading and a name; the first path of each reading.
@@ -29,6 +35,7 @@ def quote_collisions(answers: DataFrame, options: AnswerOptions = AnswerOptions(
     """Quotes that stand under several names: names, answers.  answers: readingid, called, quote."""
     q = answers.withColumn("quote", folded(F.coalesce("quote", F.lit("")))).filter(F.length("quote") >= options.least_quote)
     each = q.groupBy("quote", "called").agg(F.count("*").alias("n"))
+    # A list of the names under one quote, of which there are at most as many as templates and proposals.
     names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("called", "n"))), lambda x: F.concat(x["called"], F.lit("="), x["n"])), "|")
     return each.groupBy("quote").agg(F.count("*").alias("names"), F.sum("n").alias("answers"), names.alias("templates")).filter("names > 1")
 
@@ -47,55 +54,108 @@ def phrases(types: DataFrame) -> DataFrame:
     return both.select(folded(F.col("phrase")).alias("phrase")).filter((F.length("phrase") > 8) & (F.length("phrase") <= 60)).distinct()
 
 
+def _grams(c: Column, n: int) -> Column:
+    """The distinct runs of n characters of a text; none in shorter ones."""
+    last = F.length(c) - (n - 1)
+    return F.when(last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.substring(c, k, F.lit(n)))))
+
+
 def named_but_not_picked(answers: DataFrame, types: DataFrame) -> DataFrame:
     """(phrase, answers): phrases found in quote or evidence of answers that were called something else.
 
-    A phrase begins where one of its first words does, so phrase and text meet in a join on a word of the text and not
-    by holding every phrase against every text.  answers: readingid, called, quote, evidence.
+    A phrase is looked for anywhere in the text, inside words too.  Text and phrase meet on one run of six characters
+    of the phrase, the one that the fewest phrases have, and the whole phrase is looked for only then; phrases are at
+    least nine characters long.  answers: readingid, called, quote, evidence.
     """
     text = folded(F.concat_ws(" ", "quote", "evidence"))
     told = answers.select("readingid", folded(F.col("called")).alias("called"), text.alias("told"))
-    words = told.withColumn("first", F.explode(F.array_distinct(F.split("told", "[^a-z0-9]+"))))
-    begun = phrases(types).withColumn("first", F.regexp_extract("phrase", "[a-z0-9]+", 0))
-    # A phrase may begin inside a longer word of the text, so its second word decides where it has one.
-    second = F.regexp_extract("phrase", "^[a-z0-9]+[^a-z0-9]+([a-z0-9]+)[^a-z0-9]", 1)
-    keyed = begun.withColumn("first", F.when(second != "", second).otherwise(F.col("first")))
-    met = words.join(F.broadcast(keyed), "first").filter(F.contains("told", F.col("phrase")) & ~F.contains("called", F.col("phrase")))
+    grams = phrases(types).select("phrase", F.explode(_grams(F.col("phrase"), 6)).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    keyed = cut(grams.join(held, "gram").groupBy("phrase").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram")))
+    met = told.withColumn("gram", F.explode(_grams(F.col("told"), 6))).join(F.broadcast(keyed) if keyed.count() <= BROADCAST_NAMES else keyed, "gram")
+    met = met.filter(F.contains("told", F.col("phrase")) & ~F.contains(F.coalesce("called", F.lit("")), F.col("phrase")))
     return met.select("readingid", "phrase").distinct().groupBy("phrase").agg(F.count("*").alias("answers"))
 
 
+# Words that tell no kind of document from another.
+COMMON_WORDS = frozenset({
+    "document", "documents", "form", "forms", "sheet", "sheets", "statement", "statements", "certificate", "certificates", "information", "product", "products", "raw", "material", "materials",
+    "report", "reports", "the", "of", "and", "for", "a", "an",
+})
+
+
 def name_similarity(left: str, right: str, common: frozenset[str]) -> float:
-    """Ratio of matching blocks of two names; without a shared telling word it is held down unless nearly equal."""
-    a, b = left.split(), right.split()
-    ratio = difflib.SequenceMatcher(None, " ".join(a), " ".join(b)).ratio()
-    # Nearly equal from 0.9; otherwise at most 0.4.
-    if ratio > 0.9 or (set(a) - common) & (set(b) - common):
-        return ratio
-    return min(ratio, 0.4)
+    """Share of matching blocks in two names of words (twice the matched characters by all characters).
 
+    Names that have a word outside ``common`` together, or share over 0.9, count in full; all others 0.4 at most.
+    """
+    # Nearly equal from over 0.9, at most 0.4 without a telling word.
+    nearly, held_down = 0.9, 0.4
+    ratio = difflib.SequenceMatcher(None, left, right).ratio()
+    telling = set(left.split()).intersection(right.split()).difference(common)
+    return ratio if telling or ratio > nearly else min(held_down, ratio)
 
-# Words that tell no kind of document from another.
-COMMON_WORDS = frozenset(
-    "document documents form forms sheet sheets statement statements certificate certificates information product products raw material materials report reports the of and for a an".split()
-)
+
+def _letters(texts: list[str], index: dict[str, int]) -> np.ndarray:
+    """How often each character of the index occurs in each text; characters it lacks are left out."""
+    out = np.zeros((len(texts), len(index)), np.int32)
+    for row, text in enumerate(texts):
+        for c in text:
+            k = index.get(c)
+            if k is not None:
+                out[row, k] += 1
+    return out
 
 
-def nearest_names(titles: DataFrame, names: list[tuple[str, str]], options: AnswerOptions = AnswerOptions(), common: frozenset[str] = COMMON_WORDS) -> DataFrame:
+def _best(value: str, names: list[str], counts: np.ndarray, index: dict[str, int], score: Callable[[str, str], float], most: int, least: float) -> list[tuple[float, str]]:
+    """The ``most`` best names over ``least`` by score, ties by name, without scoring those that cannot be among them.
+
+    Matched characters are never more than those both have, so names are scored by falling bound until none is left
+    that could still come in.
+    """
+    size = counts.sum(axis=1)
+    mine = _letters([value], index)[0]
+    # Characters the index lacks are in no name, so they count for the length only.
+    bound = 2.0 * np.minimum(counts, mine).sum(axis=1) / np.maximum(size + len(value), 1)
+    best: list[tuple[float, str]] = []
+    for k in np.argsort(-bound, kind="stable").tolist():
+        if bound[k] < least - 1e-12 or (len(best) == most and bound[k] < -best[-1][0] - 1e-12):
+            break
+        got = score(value, names[k])
+        if got >= least:
+            best = sorted([*best, (-got, names[k])])[:most]
+    return [(-s, n) for s, n in best]
+
+
+def nearest_names(titles: DataFrame, names: DataFrame, options: AnswerOptions = AnswerOptions(), common: frozenset[str] = COMMON_WORDS) -> DataFrame:
     """(title, name, score, place): the most similar names of the closed list, for each distinct title.
 
-    names: (name, its words); a closed list is short and is broadcast; titles are compared once each.
+    titles: title, words; names: name, words; each once.  Every name counts, since the third best may be a poor one;
+    titles meet the list in blocks of ``NAME_BLOCK`` names, and the best of each block are ranked.  In a block names are
+    compared in full only while their letters allow them to be among the best.
     """
-    held = titles.sparkSession.sparkContext.broadcast(names)
+    blocks = -(-names.count() // NAME_BLOCK)
+    spread = names.groupBy(F.pmod(F.xxhash64("name"), F.lit(max(blocks, 1))).alias("_block")).agg(F.sort_array(F.collect_list(F.struct("name", "words"))).alias("_names"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
-            for title, words in zip(pdf["title"], pdf["words"]):
-                scored = sorted(((name_similarity(words, w, common), n) for n, w in held.value), key=lambda x: (-x[0], x[1]))
-                out += [(title, n, s, k) for k, (s, n) in enumerate(scored[: options.nearest], 1)]
-            yield pd.DataFrame(out, columns=["title", "name", "score", "place"])
-
-    return titles.mapInPandas(run, "title string, name string, score double, place int")
+            for _, group in pdf.groupby("_block", sort=False):
+                listed = [(r["name"], r["words"]) for r in group["_names"].iloc[0]]
+                index = {c: k for k, c in enumerate(sorted({c for _, w in listed for c in w}))}
+                counts = _letters([w for _, w in listed], index)
+                # Names may share their words, so the places stand for them in the order of the names.
+                width = len(str(len(listed)))
+                keys = [f"{k:0{width}d}" for k in range(len(listed))]
+                for title, words in zip(group["title"], group["words"]):
+                    score = lambda v, key: name_similarity(v, listed[int(key)][1], common)  # noqa: B023, E731
+                    out += [(title, listed[int(key)][0], s) for s, key in _best(words, keys, counts, index, score, options.nearest, 0.0)]
+            yield pd.DataFrame(out, columns=["title", "name", "score"])
+
+    pairs = titles.select("title", "words").join(F.broadcast(spread) if blocks * NAME_BLOCK <= BROADCAST_NAMES else spread)
+    best = pairs.mapInPandas(run, "title string, name string, score double")
+    k = F.row_number().over(Window.partitionBy("title").orderBy(F.desc("score"), "name"))
+    return best.withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
 def _without(c: Column, places: int) -> Column:
@@ -109,38 +169,77 @@ def _without(c: Column, places: int) -> Column:
     return F.array_distinct(F.concat(F.array(c), once, twice))
 
 
+def _ratio(value: str, name: str) -> float:
+    return difflib.SequenceMatcher(None, name, value).ratio()
+
+
 def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = AnswerOptions(), longest: int = 40) -> DataFrame:
     """(itemtable, identifier, near, ratio, place): unmatched identifiers and the most similar ones of their table.
 
     Identifiers of one table look alike (``RM-00000123``), so parts of them select nothing.  Two that differ by few
     characters are equal once these are taken out of both: they meet in a join on what is left with one character out,
-    and, only for those that found too few so, with two out.  What differs by more than two characters on either side is
-    no near miss here.  values, index: itemtable, identifier; blank ones and those over ``longest`` characters are not
-    looked up.
+    then with two out.  What differs by more has a ratio of at most 2n / (2n + 2), or 2n / (2n + 3), for an identifier of
+    n characters; an identifier is decided once so many have been found that are at least as near as that.  Those that
+    stay undecided, and those over ``longest`` characters, are held against all of their table in blocks, by falling
+    bound of the characters both have.  So the result is that of a full comparison, at every length.
+
+    values, index: itemtable, identifier; blank ones are not looked up, repeated ones count once.
     """
-    some = lambda df: df.select("itemtable", "identifier").filter((F.col("identifier") != "") & (F.length("identifier") <= longest)).distinct()
-    index = some(index).withColumnRenamed("identifier", "near")
+    some = lambda df: df.select("itemtable", "identifier").filter(F.col("identifier") != "").distinct()
+    index = cut(some(index).withColumnRenamed("identifier", "near"))
+    n = F.length("identifier")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            pdf["ratio"] = [difflib.SequenceMatcher(None, b, a).ratio() for a, b in zip(pdf["identifier"], pdf["near"])]
+            pdf["ratio"] = [_ratio(a, b) for a, b in zip(pdf["identifier"], pdf["near"])]
             yield pdf[["itemtable", "identifier", "near", "ratio"]]
 
     def close(wanted: DataFrame, places: int) -> DataFrame:
+        reach = wanted.select("itemtable", F.explode(F.sequence(n - places, n + places)).alias("_n")).distinct()
         left = wanted.withColumn("_left", F.explode(_without(F.col("identifier"), places)))
-        right = index.withColumn("_left", F.explode(_without(F.col("near"), places)))
+        # Only identifiers of a length that can meet one of those looked for are taken apart.
+        right = index.withColumn("_n", F.length("near")).join(F.broadcast(reach), ["itemtable", "_n"], "left_semi").withColumn("_left", F.explode(_without(F.col("near"), places)))
         pairs = left.join(right, ["itemtable", "_left"]).select("itemtable", "identifier", "near").distinct()
-        return pairs.mapInPandas(run, "itemtable string, identifier string, near string, ratio double").filter(F.col("ratio") >= options.near_miss)
+        return cut(pairs.mapInPandas(rated, "itemtable string, identifier string, near string, ratio double").filter(F.col("ratio") >= options.near_miss))
+
+    def undecided(wanted: DataFrame, found: DataFrame, beyond: int) -> DataFrame:
+        """Those of which too few are found that nothing ``beyond`` so many characters apart could come before."""
+        sure = found.filter(F.col("ratio") >= 2 * n / (2 * n + beyond) + 1e-9).groupBy("itemtable", "identifier").count().filter(F.col("count") >= options.nearest)
+        return wanted.join(sure, ["itemtable", "identifier"], "left_anti").select("itemtable", "identifier")
 
     wanted = some(values)
-    first = cut(close(wanted, 1))
-    enough = first.groupBy("itemtable", "identifier").count().filter(F.col("count") >= options.nearest)
-    rest = wanted.join(enough, ["itemtable", "identifier"], "left_anti").select("itemtable", "identifier")
-    found = first.unionByName(close(rest, 2)).distinct()
+    short = wanted.filter(n <= longest)
+    once = close(short, 1)
+    rest = cut(undecided(short, once, 2))
+    twice = close(rest, 2)
+    last = cut(undecided(rest, twice, 3).unionByName(wanted.filter(n > longest)))
+
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for (t, _), group in pdf.groupby(["itemtable", "_block"], sort=False):
+                listed = list(group["_names"].iloc[0])
+                chars = {c: k for k, c in enumerate(sorted({c for x in listed for c in x}))}
+                counts = _letters(listed, chars)
+                for value in group["identifier"]:
+                    out += [(t, value, x, s) for s, x in _best(value, listed, counts, chars, _ratio, options.nearest, options.near_miss)]
+            yield pd.DataFrame(out, columns=["itemtable", "identifier", "near", "ratio"])
+
+    # Equal lengths stand together, so a block has few lengths and most blocks are out of an identifier's reach.
+    sized = index.join(F.broadcast(last.select("itemtable").distinct()), "itemtable", "left_semi").groupBy("itemtable", F.length("near").alias("_n"), F.pmod(F.xxhash64("near"), F.lit(_blocks(index))).alias("_block")).agg(F.sort_array(F.collect_list("near")).alias("_names"))
+    reach = (F.col("_n") * (2 - options.near_miss) >= n * options.near_miss) & (n * (2 - options.near_miss) >= F.col("_n") * options.near_miss)
+    full = last.join(sized.withColumn("_block", F.concat_ws("-", "_n", "_block")), "itemtable").filter(reach).select("itemtable", "identifier", "_block", "_names")
+    found = once.unionByName(twice).unionByName(full.mapInPandas(compared, "itemtable string, identifier string, near string, ratio double")).distinct()
     k = F.row_number().over(Window.partitionBy("itemtable", "identifier").orderBy(F.desc("ratio"), "near"))
     return found.withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
+def _blocks(index: DataFrame) -> int:
+    """How many blocks the largest list of one table and length is cut into."""
+    most = index.groupBy("itemtable", F.length("near")).count().agg(F.max("count")).first()[0] or 1
+    return -(-most // NAME_BLOCK)
+
+
 def proposed_names(answers: DataFrame) -> DataFrame:
     """Proposals by their case- and punctuation-blind form: how many, and the first spelling."""
     p = answers.filter(F.trim(F.coalesce("proposedtemplate", F.lit(""))) != "").withColumn("k", folded_hard(F.col("proposedtemplate")))

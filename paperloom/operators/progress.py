@@ -1,4 +1,4 @@
-"""How far a pass is, in sentences: when to speak, what to say, and stages of a Spark job as the unit."""
+"""How far a pass is: when to speak, and what share of its Spark tasks is done."""
 
 from __future__ import annotations
 
@@ -6,63 +6,61 @@ import threading
 import time
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-# Seconds until the first and the second update, and between all later ones.
-FIRST_WAITS, LATER_WAIT = (30.0, 300.0), 900.0
 
+@dataclass(frozen=True)
+class Cadence:
+    # Seconds of quiet before the first update, before the second, and before every later one.
+    first: float = 30.0
+    second: float = 300.0
+    later: float = 900.0
 
-def due(quiet: float, spoken: int) -> bool:
-    """Whether an update is due after so many seconds of quiet, if so many updates were given before."""
-    return quiet >= (FIRST_WAITS + (LATER_WAIT,))[min(spoken, len(FIRST_WAITS))]
+    def due(self, quiet: float, given: int) -> bool:
+        """Whether so many seconds of quiet call for an update when so many were given."""
+        return quiet >= (self.first if given == 0 else self.second if given == 1 else self.later)
 
 
-# How durations and what is left are put into words: up to so many seconds, words, seconds per number.
-LEFT_WORDS = ((45, "nearly done", None), (90, "about a minute left", None), (float("inf"), "about {} minutes left", 60))
-SPENT_WORDS = ((10, "a few seconds", None), (90, "{} seconds", 1), (5400, "{} minutes", 60))
+def duration(seconds: float) -> str:
+    """A time span as ISO 8601 writes it, whole seconds: PT1H2M3S."""
+    minutes, s = divmod(max(round(seconds), 0), 60)
+    h, m = divmod(minutes, 60)
+    parts = [f"{n}{unit}" for n, unit in ((h, "H"), (m, "M"), (s, "S")) if n]
+    return "PT" + ("".join(parts) or "0S")
 
 
-def _said(seconds: float, words) -> str | None:
-    for limit, phrase, unit in words:
-        if seconds < limit:
-            return phrase.format(round(seconds / unit)) if unit else phrase
-    return None
+def remaining(done: int, total: int, elapsed: float) -> float | None:
+    """Seconds still needed at the rate so far; nothing while there is no rate."""
+    return elapsed * (total - done) / done if done > 0 else None
 
 
-def left(remaining: int, done: int, elapsed: float) -> str | None:
-    """What is left at the rate so far; nothing while there is no rate."""
-    return _said(remaining * elapsed / done, LEFT_WORDS) if done > 0 and elapsed > 0 else None
-
-
-def spent(seconds: float) -> str:
-    return _said(seconds, SPENT_WORDS) or f"{seconds / 3600:.1f} hours"
-
-
-def update(verb: str, unit: str, done: int, total: int, elapsed: float) -> str:
-    rest = left(total - done, done, elapsed)
-    return f"{verb} {done:,} of {total:,} {unit}" + (f", {rest}." if rest else ".")
+def status(what: str, done: int, total: int, elapsed: float) -> str:
+    """One line of progress: share, counts with thousands marks, time spent and time expected."""
+    rest = remaining(done, total, elapsed)
+    share = 100 * done // total if total else 100
+    return f"{what}: {share}% ({done:,}/{total:,}), elapsed {duration(elapsed)}" + ("" if rest is None else f", remaining {duration(rest)}")
 
 
 @contextmanager
-def told(spark: SparkSession, opener: str, say: Callable[[str], None] = print, every: float = 1.0):
-    """Speaks while the Spark jobs of the block run: an opener, updates by finished tasks, and how long it took."""
-    say(opener)
-    began = last = time.monotonic()
+def told(spark: SparkSession, what: str, say: Callable[[str], None] = print, cadence: Cadence = Cadence(), every: float = 1.0):
+    """Speaks while the Spark jobs of the block run: at its start, when an update is due, and at its end."""
+    say(f"{what}: started")
+    began = time.monotonic()
     stop = threading.Event()
 
     def watch() -> None:
-        nonlocal last
-        count = 0
+        spoken, given = began, 0
         while not stop.wait(every):
             now = time.monotonic()
-            if due(now - last, count):
-                tracker = spark.sparkContext.statusTracker()
-                stages = [s for s in map(tracker.getStageInfo, tracker.getActiveStageIds()) if s is not None]
-                total = sum(s.numTasks for s in stages)
-                if total:
-                    say(update("Done", "parts of this step", sum(s.numCompletedTasks for s in stages), total, now - began))
-                last, count = now, count + 1
+            if not cadence.due(now - spoken, given):
+                continue
+            tracker = spark.sparkContext.statusTracker()
+            stages = [s for s in map(tracker.getStageInfo, tracker.getActiveStageIds()) if s is not None]
+            if stages:
+                say(status(what, sum(s.numCompletedTasks for s in stages), sum(s.numTasks for s in stages), now - began))
+            spoken, given = now, given + 1
 
     thread = threading.Thread(target=watch, daemon=True)
     thread.start()
@@ -71,21 +69,19 @@ def told(spark: SparkSession, opener: str, say: Callable[[str], None] = print, e
     finally:
         stop.set()
         thread.join()
-        say(f"Finished in {spent(time.monotonic() - began)}.")
+        say(f"{what}: ended after {duration(time.monotonic() - began)}")
 
 
-def guarded(run: Callable[[], object], after: str = "Nothing was written.") -> object:
-    """Runs a pass; a failure becomes one sentence, a stop with its own words passes."""
+def guarded(run: Callable[[], object], name: str = "pass") -> object:
+    """Runs a pass; a failure ends the program with one line that names it, a stop with its own words goes through."""
     try:
         return run()
-    except MemoryError as x:
-        raise SystemExit(f"Stopped: this machine ran out of memory. {after}") from x
     except Exception as x:
-        raise SystemExit(f"Stopped: {type(x).__name__}: {x}. {after}") from x
+        raise SystemExit(f"{name} failed ({type(x).__name__}): {x}") from x
 
 
 def require(**there: bool) -> None:
     """Stops before any work where an input is not there: require(items=True, branches=False)."""
     missing = sorted(name for name, ok in there.items() if not ok)
     if missing:
-        raise SystemExit(f"missing {', '.join(missing)}: the step that writes it has not run")
+        raise SystemExit(f"missing inputs: {', '.join(missing)}; run the steps that write them first")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import casefold
@@ -27,10 +27,24 @@ def tree(files: DataFrame, path: str = "relativepath") -> DataFrame:
 
 
 def levels(files: DataFrame, most_names: int = 12) -> DataFrame:
-    """For each folder depth: distinct names, files under it, the most frequent names (ties by name)."""
+    """For each folder depth: distinct names, files under it, the most frequent names (ties by name).
+
+    Only the names that are shown are ranked into a list; Spark keeps as many of each depth in a task before it shuffles.
+    """
     named = files.select(F.posexplode("folders").alias("pos", "folder")).groupBy((F.col("pos") + 1).alias("depth"), "folder").agg(F.count("*").alias("n"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("folder").alias("f")))), 1, most_names)
-    return named.groupBy("depth").agg(F.count("*").alias("distinct_names"), F.sum("n").alias("files_under"), F.array_join(F.transform(best, lambda x: x["f"]), "|").alias("names"))
+    k = F.row_number().over(Window.partitionBy("depth").orderBy(F.desc("n"), "folder"))
+    best = named.withColumn("_k", k).filter(F.col("_k") <= most_names).groupBy("depth").agg(F.array_sort(F.collect_list(F.struct("_k", "folder"))).alias("b"))
+    sums = named.groupBy("depth").agg(F.count("*").alias("distinct_names"), F.sum("n").alias("files_under"))
+    return sums.join(best, "depth").select("depth", "distinct_names", "files_under", F.array_join(F.transform("b", lambda x: x["folder"]), "|").alias("names"))
+
+
+def depth_flags(files: DataFrame) -> DataFrame:
+    """One row: files, files without a folder above them, whether files stand at several depths, whether no folder is there."""
+    counted = files.groupBy("depth").agg(F.count("*").alias("n"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return counted.agg(
+        zero(F.sum("n")).alias("files"), zero(F.sum(F.when(F.col("depth") == 0, F.col("n")))).alias("loose"), (F.count("*") > 1).alias("mixed"), (F.coalesce(F.max("depth"), F.lit(0)) == 0).alias("flat")
+    )
 
 
 def depth_histogram(files: DataFrame) -> DataFrame:

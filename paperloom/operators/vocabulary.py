@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import casefold, is_true, normalise
@@ -36,9 +36,12 @@ def items_summary(items: DataFrame) -> DataFrame:
 
 
 def item_collisions(items: DataFrame, most_names: int = 3) -> DataFrame:
-    """Identifiers that name several items, with the first few names."""
-    names = F.array_join(F.slice(F.array_sort(F.collect_list("name")), 1, most_names), "|")
-    return items.filter(F.col("identifier") != "").groupBy("itemtable", "identifier").agg(F.count("*").alias("n"), names.alias("names")).filter("n > 1")
+    """Identifiers that name several items, with the first few names; no identifier's names are all gathered."""
+    named = items.filter(F.col("identifier") != "").select("itemtable", "identifier", "name")
+    counted = named.groupBy("itemtable", "identifier").agg(F.count("*").alias("n")).filter("n > 1")
+    k = F.row_number().over(Window.partitionBy("itemtable", "identifier").orderBy("name"))
+    first = named.withColumn("_k", k).filter(F.col("_k") <= most_names).groupBy("itemtable", "identifier").agg(F.array_join(F.array_sort(F.collect_list("name")), "|").alias("names"))
+    return counted.join(first, ["itemtable", "identifier"])
 
 
 def duplicate_names(templates: DataFrame) -> DataFrame:
@@ -54,3 +57,8 @@ def closed_list(templates: DataFrame, tables: DataFrame) -> DataFrame:
     everywhere = F.col("for_tables").isNull() | (F.size("for_tables") == 0)
     listed = templates.filter(~everywhere).select("id", "name", F.explode(F.array_distinct("for_tables")).alias("itemtable")).join(F.broadcast(tables), "itemtable", "left_semi")
     return listed.select("itemtable", "id", "name").unionByName(templates.filter(everywhere).select("id", "name").join(F.broadcast(tables)).select("itemtable", "id", "name"))
+
+
+def unknown_tables(branches: DataFrame, tables: DataFrame) -> DataFrame:
+    """Tables that branches name and the application does not have; both: itemtable."""
+    return branches.select("itemtable").subtract(tables.select("itemtable"))

@@ -174,9 +174,9 @@ def unarranged_templates(spark: SparkSession, folder: str) -> DataFrame:
     return S.unarranged(answers(spark, folder), sections(spark))
 
 
-def template_names(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+def template_names(spark: SparkSession, folder: str) -> DataFrame:
     words = F.array_join(name_words(F.col("name")), " ")
-    return [(r[0], r[1]) for r in table(spark, folder, "document_templates").filter(F.col("name").isNotNull()).select("name", words.alias("words")).distinct().filter("words <> ''").collect()]
+    return table(spark, folder, "document_templates").filter(F.col("name").isNotNull()).select("name", words.alias("words")).distinct().filter("words <> ''")
 
 
 @query()

@@ -13,10 +13,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; only where it is unset (tests) an own one."""
+    """The folder all executors share: ``spark.checkpoint.dir``; only where it is unset in local mode an own one.
+
+    On a cluster a folder of one machine would be of no use to the others, so without the setting this fails.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paperloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="paperloom-"))
     return sc.getCheckpointDir()
 
 

@@ -178,14 +178,43 @@ def test_near_misses_are_those_of_a_full_comparison(spark):
     import difflib
 
     rng = random.Random(8)
-    index = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(120)})
-    wanted = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(40)} - set(index)) + ["RM-0001", "XX", ""]
-    df = lambda rows: spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string")
+    index = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(120)} | {f"RM-{rng.randint(0, 400):06d}{x}" for x in ("77", "-A", "xyz", "") for _ in range(10)} | {"L" * 50 + str(k) for k in range(9)} | {"AB", "ABC", "a" * 13})
+    wanted = sorted({f"RM-{rng.randint(0, 400):06d}" for _ in range(40)} - set(index)) + ["RM-0001", "XX", "", "RM-000123xyzz", "L" * 47 + "99", "A", "ABCD", "RM-00012377x", "a" * 16, "b" * 60]
+    df = lambda rows: spark.createDataFrame([("t", x) for x in rows] + [("u", rows[0]), (None, "RM-000001")], "itemtable string, identifier string")
     got = {}
-    for r in U.near_misses(df(wanted), df(index)).orderBy("place").collect():
+    for r in U.near_misses(df(wanted), df(index)).filter("itemtable = 't'").orderBy("place").collect():
         got.setdefault(r["identifier"], []).append(r["near"])
     for w in wanted:
         scored = sorted(((difflib.SequenceMatcher(None, x, w).ratio(), x) for x in index), key=lambda p: (-p[0], p[1]))
         want = [x for s, x in scored[:3] if s >= 0.8 and w]
-        if len(w) == 9:
-            assert got.get(w, []) == want, (w, got.get(w), want)
+        assert got.get(w, []) == want, (w, got.get(w), want)
+
+
+def test_three_near_ones_do_not_hide_a_nearer_one(spark):
+    index = ["RM-00000124", "RM-00000125", "RM-00000126", "RM-0000012377"]
+    df = lambda rows: spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string")
+    got = [r["near"] for r in U.near_misses(df(["RM-00000123"]), df(index)).orderBy("place").collect()]
+    assert got == ["RM-0000012377", "RM-00000124", "RM-00000125"]
+
+
+def test_nearest_names_are_those_of_a_full_comparison(spark, monkeypatch):
+    rng = random.Random(5)
+    words = "safety data sheet allergen declaration product specification raw material certificate of analysis batch".split()
+    names = sorted({" ".join(rng.sample(words, rng.randint(1, 4))) for _ in range(60)})
+    titles = sorted({" ".join(rng.sample(words + ["new", "zz"], rng.randint(1, 4))) for _ in range(25)})
+    df = lambda rows, c: spark.createDataFrame([(x.title(), x) for x in rows], f"{c} string, words string")
+    for block in (2_000, 7):
+        monkeypatch.setattr(U, "NAME_BLOCK", block)
+        got = {}
+        for r in U.nearest_names(df(titles, "title"), df(names, "name")).orderBy("place").collect():
+            got.setdefault(r["title"], []).append((r["name"], r["score"]))
+        for t in titles:
+            scored = sorted(((U.name_similarity(t, n, U.COMMON_WORDS), n.title()) for n in names), key=lambda p: (-p[0], p[1]))
+            assert got[t.title()] == [(n, s) for s, n in scored[:3]]
+
+
+def test_phrases_inside_longer_words_are_found(spark):
+    rows = [("r1", "X", "see the specifications", None), ("r2", "X", None, "Produktspezifikation liegt bei"), ("r3", "specification", "specifications", ""), ("r4", None, "two-word phraseology", ""), ("r5", "X", "short", None)]
+    answers = spark.createDataFrame(rows, "readingid string, called string, quote string, evidence string")
+    types = spark.createDataFrame([("specification",), ("spezifikation",), ("word phrase",), ("tiny",)], "phrase string")
+    assert {tuple(r) for r in U.named_but_not_picked(answers, types).collect()} == {("specification", 1), ("spezifikation", 1), ("word phrase", 1)}

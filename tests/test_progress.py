@@ -4,18 +4,20 @@ from paperloom.operators import progress as P
 
 
 def test_when_to_speak():
-    assert not P.due(29, 0) and P.due(30, 0) and not P.due(299, 1) and P.due(300, 1) and not P.due(899, 5) and P.due(900, 5)
+    due = P.Cadence().due
+    assert not due(29, 0) and due(30, 0) and not due(299, 1) and due(300, 1) and not due(899, 5) and due(900, 5)
 
 
 def test_words():
-    assert P.left(10, 0, 5) is None and P.left(1, 100, 100) == "nearly done" and P.left(60, 1, 1) == "about a minute left" and P.left(600, 1, 1) == "about 10 minutes left"
-    assert [P.spent(s) for s in (3, 42, 600, 9000)] == ["a few seconds", "42 seconds", "10 minutes", "2.5 hours"]
-    assert P.update("Read", "files", 0, 5000, 1) == "Read 0 of 5,000 files."
-    assert P.update("Read", "files", 2500, 5000, 600) == "Read 2,500 of 5,000 files, about 10 minutes left."
+    assert [P.duration(s) for s in (0, 42, 600, 3723, 90_000)] == ["PT0S", "PT42S", "PT10M", "PT1H2M3S", "PT25H"]
+    assert P.remaining(0, 10, 5) is None and P.remaining(5, 10, 60) == 60
+    assert P.status("Read", 0, 5000, 1) == "Read: 0% (0/5,000), elapsed PT1S"
+    assert P.status("Read", 2500, 5000, 600) == "Read: 50% (2,500/5,000), elapsed PT10M, remaining PT10M"
+    assert P.status("Read", 0, 0, 1) == "Read: 100% (0/0), elapsed PT1S"
 
 
 def test_stops():
-    with pytest.raises(SystemExit, match="missing branches"):
+    with pytest.raises(SystemExit, match="branches"):
         P.require(items=True, branches=False)
     with pytest.raises(SystemExit, match="ZeroDivisionError"):
         P.guarded(lambda: 1 / 0)
@@ -25,6 +27,6 @@ def test_stops():
 
 def test_told(spark):
     said = []
-    with P.told(spark, "Counting.", said.append):
+    with P.told(spark, "Counting", said.append, P.Cadence(0, 0, 0), every=0.01):
         spark.range(10).count()
-    assert said[0] == "Counting." and said[-1].startswith("Finished in")
+    assert said[0] == "Counting: started" and said[-1].startswith("Counting: ended after PT")

@@ -17,6 +17,26 @@ class AnswerProvider(Protocol):
     def __call__(self, tasks: DataFrame) -> DataFrame: ...
 
 
+class PhraseReader:
+    """A reader by rule, the same each time: the template of the longest phrase that a task's text contains.
+
+    phrases: phrase, documenttemplateid.  Tasks: readingid, text.  A text without any phrase is answered with neither
+    template nor quote; equally long phrases by their text.  Confidence is 1 where one template fits, else 0.5.
+    """
+
+    def __init__(self, phrases: DataFrame):
+        self.phrases = phrases.filter(F.col("phrase").isNotNull() & F.col("documenttemplateid").isNotNull()).select(folded(F.col("phrase")).alias("phrase"), "documenttemplateid").filter("phrase <> ''").distinct()
+
+    def __call__(self, tasks: DataFrame) -> DataFrame:
+        told = tasks.select("readingid", folded(F.coalesce("text", F.lit(""))).alias("_told"))
+        # The list of phrases is one short row, so no pair of task and phrase is ever a row.
+        listed = self.phrases.agg(F.array_sort(F.collect_list(F.struct((-F.length("phrase")).alias("n"), "phrase", F.col("documenttemplateid").alias("id")))).alias("_all"))
+        fits = told.withColumn("_k", F.lit(0)).join(F.broadcast(listed.withColumn("_k", F.lit(0))), "_k").withColumn("_fit", F.filter("_all", lambda x: F.contains("_told", x["phrase"])))
+        best = F.get("_fit", F.lit(0))
+        one = F.size(F.array_distinct(F.transform("_fit", lambda x: x["id"]))) == 1
+        return fits.select("readingid", F.lit(True).alias("received"), best["id"].alias("documenttemplateid"), best["phrase"].alias("quote"), F.when(best.isNotNull(), F.when(one, 1.0).otherwise(0.5)).alias("confidence"))
+
+
 def confidence_of(text: Column) -> Column:
     """The number clamped to 0 and 1; null where it is none (NaN included)."""
     n = text.try_cast("double")

@@ -41,17 +41,41 @@ def images_of(options: ReadingOptions = ReadingOptions()) -> Column:
 
 
 def readings(attachments: DataFrame) -> DataFrame:
-    """One row for each content and table: files, distinct hints in order, what the first readable copy offers.
+    """One row for each content and table: how many files, the first, how many hints, what the first readable copy offers.
 
-    attachments: sha, itemtable, relativepath, hint, read (null where there is nothing), images.
+    attachments: sha, itemtable, relativepath, hint, read (null where there is nothing), images.  The files and hints
+    themselves are rows of ``reading_files`` and ``reading_hints``: a content may have any number of copies.
     """
     first = F.min_by(F.struct("read", "images", "relativepath"), F.when(F.col("read").isNotNull(), F.col("relativepath")))
-    files = F.array_sort(F.collect_list("relativepath"))
-    return attachments.groupBy("sha", "itemtable").agg(files.alias("files"), F.array_sort(F.collect_set("hint")).alias("hints"), first.alias("first")).select(
-        "sha", "itemtable", "files", "hints", F.col("first.read").alias("read"), F.coalesce("first.images", F.lit(0)).alias("images")
+    return attachments.groupBy("sha", "itemtable").agg(F.count("*").alias("files"), F.min("relativepath").alias("first_file"), first.alias("first")).select(
+        "sha", "itemtable", "files", "first_file", F.col("first.read").alias("read"), F.coalesce("first.images", F.lit(0)).alias("images")
     )
 
 
+def reading_files(attachments: DataFrame) -> DataFrame:
+    """(sha, itemtable, relativepath): the files of each reading."""
+    return attachments.select("sha", "itemtable", "relativepath")
+
+
+def reading_hints(attachments: DataFrame) -> DataFrame:
+    """(sha, itemtable, hint): the folder hints of each reading, each once."""
+    return attachments.filter(F.col("hint").isNotNull()).select("sha", "itemtable", "hint").distinct()
+
+
+def again(readings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The readings of a later round: those that a round before could not settle.  Both: readingid."""
+    return readings.join(wanted.select("readingid").distinct(), "readingid", "left_semi")
+
+
+def with_split_rule(readings: DataFrame, members: DataFrame, rules: DataFrame) -> DataFrame:
+    """Adds ``splitsinto``: the sentence that says into what the form of a reading splits; null for all others.
+
+    readings: sha; members: form, sha; rules: form, splitsinto.  A content of several forms takes the first form's.
+    """
+    of = members.join(rules.filter(F.col("splitsinto").isNotNull()), "form").groupBy("sha").agg(F.min_by("splitsinto", "form").alias("splitsinto"))
+    return readings.join(of, "sha", "left")
+
+
 def _next_start(images: np.ndarray, options: ReadingOptions) -> np.ndarray:
     """For each row the row at which the next batch begins if one begins here; rows past the end count as no limit."""
     n = len(images)

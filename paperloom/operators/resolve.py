@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import casefold, strip
+from paperloom.operators.skew import lookup
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,24 @@ def _pick(number: Column, branches: list[Branch], value) -> Column:
     return reduce(lambda e, k: e.when(number == k, value(branches[k])), range(len(branches)), F.when(F.lit(False), F.lit(None).cast("string")))
 
 
+def java_pattern(pattern: str) -> str:
+    """A pattern of a branch, written for Python, as Spark's engine reads it.
+
+    Classes are Unicode ones in both.  Look-behind, conditions and named groups are refused with the reason, and so is
+    what is no pattern at all.
+    """
+    try:
+        re.compile(pattern)
+    except re.error as x:
+        raise ValueError(f"not a regular expression: {pattern!r}: {x}") from x
+    # What begins a group that the two engines read differently.
+    for opening, name in (("(?<", "look-behind"), ("(?P", "a named group"), ("(?(", "a condition"), ("(?#", "a comment")):
+        if opening in pattern.replace("\\\\", "").replace("\\(", ""):
+            raise ValueError(f"{name} cannot be used in a branch: {pattern!r}")
+    # The end of the text is written with another letter there.
+    return "(?U)" + re.sub(r"(?<!\\)((?:\\\\)*)\\Z", r"\1\\z", pattern)
+
+
 def identify(files: DataFrame, branches: list[Branch]) -> DataFrame:
     """branch, itemtable, identifier, hint and why (null so far) of each file; files: path, folders, name."""
     number = branch_of(F.col("path"), branches)
@@ -47,8 +67,8 @@ def identify(files: DataFrame, branches: list[Branch]) -> DataFrame:
         if b.level is not None:
             return strip(F.get("folders", F.lit(b.level - 1)))
         if b.pattern:
-            group = 1 if "(" in b.pattern.replace("(?:", "").replace(r"\(", "") else 0
-            return strip(F.nullif(F.regexp_extract("name", b.pattern, group), F.lit("")))
+            group = 1 if re.compile(b.pattern).groups else 0
+            return strip(F.nullif(F.regexp_extract("name", java_pattern(b.pattern), group), F.lit("")))
         return F.lit(None).cast("string")
 
     found = files.withColumn("branch", number)
@@ -58,43 +78,63 @@ def identify(files: DataFrame, branches: list[Branch]) -> DataFrame:
     return found.withColumn("why", F.when(F.col("branch").isNull(), "unbranched").when(F.col("identifier").isNull(), "unidentified"))
 
 
-def item_index(items: DataFrame, key: Column, prefix: str) -> DataFrame:
-    """One row for each table and key: how many items, the one item if it is one, up to three names."""
+def item_index(items: DataFrame, key: Column, prefix: str, most_names: int = 3) -> DataFrame:
+    """One row for each table and key: how many items, the one item if it is one, up to three names if they are several."""
     one = F.struct("id", "name", "template", "archived")
-    return (
-        items.filter(F.col("identifier") != "").groupBy("itemtable", key.alias("_key"))
-        .agg(F.count("*").alias(f"{prefix}_n"), F.min_by(one, F.struct("id", "name")).alias(f"{prefix}_item"))
-    )
+    keyed = items.filter(F.col("identifier") != "").withColumn("_key", key)
+    counted = keyed.groupBy("itemtable", "_key").agg(F.count("*").alias(f"{prefix}_n"), F.min_by(one, F.struct("id", "name")).alias(f"{prefix}_item"))
+    k = F.row_number().over(Window.partitionBy("itemtable", "_key").orderBy("id", "name"))
+    first = keyed.withColumn("_k", k).filter(F.col("_k") <= most_names)
+    names = first.groupBy("itemtable", "_key").agg(F.array_sort(F.collect_list(F.struct("_k", F.concat("id", F.lit(" ("), "name", F.lit(")")).alias("name")))).alias("_names"))
+    listed = F.when(F.col(f"{prefix}_n") > 1, F.array_join(F.transform("_names", lambda x: x["name"]), ", "))
+    return counted.join(names, ["itemtable", "_key"]).select("itemtable", "_key", f"{prefix}_n", f"{prefix}_item", listed.alias(f"{prefix}_names"))
 
 
-def resolve(found: DataFrame, items: DataFrame) -> DataFrame:
-    """Adds itemid, itemname, itemtemplate and the reason why there is no item.
+def resolve(found: DataFrame, items: DataFrame, rows: int | None = None) -> DataFrame:
+    """Adds itemid, itemname, itemtemplate, how, names, and the reason why there is no item.
 
     An identifier is looked up as it stands; only if nothing is found, case-blind.  Several items are ``ambiguous`` (an
-    ambiguous exact match does not fall through), an archived one is ``archived``, none is ``unmatched``.
+    ambiguous exact match does not fall through; names: the first of them), an archived one is ``archived``, none is
+    ``unmatched``.  how: ``exact`` or ``case-blind`` where an item is reached.
+
+    rows: how many files there are, counted if not given; from that it follows which items have so many files that these
+    are not brought to one task.
     """
+    rows = found.count() if rows is None else rows
     exact = item_index(items, F.col("identifier"), "exact").withColumnRenamed("_key", "identifier")
     loose = item_index(items, casefold(F.col("identifier")), "loose").withColumnRenamed("_key", "_folded")
-    joined = found.withColumn("_folded", casefold(F.col("identifier"))).join(exact, ["itemtable", "identifier"], "left").join(loose, ["itemtable", "_folded"], "left")
+    joined = lookup(found.withColumn("_folded", casefold(F.col("identifier"))), exact, ["itemtable", "identifier"], rows)
+    joined = lookup(joined, loose, ["itemtable", "_folded"], rows)
     n, item = F.coalesce("exact_n", "loose_n"), F.coalesce("exact_item", "loose_item")
     why = F.coalesce("why", F.when(n.isNull(), "unmatched").when(n > 1, "ambiguous").when(item["archived"], "archived"))
     out = joined.withColumn("why", why)
     ok = F.col("why").isNull()
-    return out.withColumns({"itemid": F.when(ok, item["id"]), "itemname": F.when(ok, item["name"]), "itemtemplate": F.when(ok, item["template"])}).drop("exact_n", "exact_item", "loose_n", "loose_item", "_folded")
+    names = F.when(F.col("why") == "ambiguous", F.when(F.col("exact_n").isNotNull(), F.col("exact_names")).otherwise(F.col("loose_names")))
+    return out.withColumns({
+        "itemid": F.when(ok, item["id"]), "itemname": F.when(ok, item["name"]), "itemtemplate": F.when(ok, item["template"]),
+        "how": F.when(ok, F.when(F.col("exact_n").isNotNull(), "exact").otherwise("case-blind")), "names": names,
+    }).drop("exact_n", "exact_item", "exact_names", "loose_n", "loose_item", "loose_names", "_folded")
 
 
 def match_rates(resolved: DataFrame, branches: list[Branch]) -> DataFrame:
-    """Per branch: files, matched, failed by reason, distinct items; branches without files have a row too."""
+    """Per branch: files, matched, of those case-blind, failed by reason, distinct items; dead branches have a row too."""
     spark = resolved.sparkSession
     every = spark.createDataFrame([(k, b.prefix) for k, b in enumerate(branches)], "branch int, prefix string")
     why = F.col("why")
     got = resolved.groupBy("branch").agg(
-        F.count("*").alias("files"), F.count_if(why.isNull()).alias("matched"), *[F.count_if(why == w).alias(w) for w in ("unidentified", "unmatched", "ambiguous", "archived")], F.count_distinct("itemid").alias("items")
+        F.count("*").alias("files"), F.count_if(why.isNull()).alias("matched"), F.count_if(F.col("how") == "case-blind").alias("folded"),
+        *[F.count_if(why == w).alias(w) for w in ("unidentified", "unmatched", "ambiguous", "archived")], F.count_distinct("itemid").alias("items")
     )
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in got.columns if c != "branch"]
     return every.join(got, "branch", "left").select("prefix", *zero)
 
 
+def legible(resolved: DataFrame) -> DataFrame:
+    """One row: files, those that reach one live item, those no branch covers, and whether all reach one."""
+    why = F.col("why")
+    return resolved.agg(F.count("*").alias("files"), F.count_if(why.isNull()).alias("matched"), F.count_if(why == "unbranched").alias("unbranched")).withColumn("legible", F.col("files") == F.col("matched"))
+
+
 def tables_of_forms(resolved: DataFrame, members: DataFrame) -> DataFrame:
     """(form, tables): the tables that the files of a form's members belong to, sorted.
 

@@ -40,3 +40,12 @@ def lookup(big: DataFrame, dim: DataFrame, keys: list[str], rows: int) -> DataFr
     done = marked.filter(F.col("_hot") | no_key).drop("_hot")
     rest = joined(marked.filter(F.col("_hot").isNull() & ~no_key).select(*big.columns))
     return rest.select(*done.columns).unionByName(done)
+
+
+#: Rows of a kept frame up to which it is broadcast.
+BROADCAST_ROWS = 300_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame, marked for broadcast if it has few rows; Spark chooses another join otherwise."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

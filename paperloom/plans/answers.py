@@ -94,12 +94,14 @@ def classifications(spark: SparkSession, folder: str) -> DataFrame:
     return verdicts(spark, folder).select("resultid", "verdict")
 
 
-@query(f"WITH {VERDICT_SQL} SELECT DISTINCT readingid FROM w WHERE verdict = 'pick' AND viaform IS NULL AND readingid IS NOT NULL AND (confidence IS NULL OR isnan(confidence) OR least(1.0, greatest(0.0, confidence)) < 0.7)")
+@query(f"WITH {VERDICT_SQL}, {SETTLED_SQL[5:].replace(FAULT_SQL + ',', '')} SELECT DISTINCT w.readingid FROM w JOIN settled s ON s.readingid = w.readingid WHERE verdict = 'pick' AND viaform IS NULL AND NOT (held_up > 1 AND different = 1) AND (confidence IS NULL OR isnan(confidence) OR least(1.0, greatest(0.0, confidence)) < 0.7)")
 def reread_list(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings whose template was chosen with too little confidence; answers by form are read again as forms."""
+    """Readings whose template was chosen with too little confidence and on which no rounds agree; answers by form are
+    read again as forms."""
     picks = verdicts(spark, folder).filter((F.col("verdict") == "pick") & F.col("viaform").isNull() & F.col("readingid").isNotNull())
+    agreed = settled_verdicts(spark, folder).select("readingid", "agreed")
     confidence = A.confidence_of(F.col("confidence").cast("string"))
-    return picks.filter(A.thin_margin(F.col("documenttemplateid"), F.lit(False), confidence)).select("readingid").distinct()
+    return picks.join(agreed, "readingid").filter(A.thin_margin(F.col("documenttemplateid"), F.col("agreed"), confidence)).select("readingid").distinct()
 
 
 @query("""WITH c AS (SELECT CASE WHEN confidence IS NULL OR isnan(confidence) THEN NULL ELSE least(1.0, greatest(0.0, confidence)) END AS c FROM classifications)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import blank_to_null, letters, strip
+from paperloom.functions.text import blank_to_null, casefold, letters, strip
 from paperloom.operators import readings as R
 from paperloom.operators import resolve as J
 from paperloom.operators import tree as T
 from paperloom.operators import vocabulary as V
 from paperloom.plans.registry import query
-from paperloom.sources.files import capped, kind_of, slug
+from paperloom.sources.files import capped, kind_of, pages_to_render, slug, sniff, true_extension
 from paperloom.sources.tables import table
 
 TABLES = ["products", "raw_materials", "packaging"]
@@ -85,9 +85,9 @@ found AS (SELECT *, CASE WHEN starts_with(path, 'PK-00000001') THEN 3 WHEN start
 ident AS (SELECT *, CASE WHEN branch IN (0, 1) THEN 'products' WHEN branch = 2 THEN 'raw_materials' WHEN branch IN (3, 4) THEN 'packaging' END AS itemtable,
                  nullif(CASE WHEN branch = 3 THEN regexp_extract(name, '^\\d+_([A-Za-z]+)', 1) WHEN branch IS NOT NULL THEN {sql_strip("folders[1]")} END, '') AS identifier,
                  CASE WHEN branch IN (0, 1, 2, 3) THEN folders[2] END AS hint FROM found),
-exact AS (SELECT itemtable, identifier, count(*) AS n, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
-loose AS (SELECT itemtable, replace(lower(identifier), 'ß', 'ss') AS folded, count(*) AS n, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
-met AS (SELECT i.*, coalesce(e.n, l.n) AS n, coalesce(e.item, l.item) AS item FROM ident i
+exact AS (SELECT itemtable, identifier, count(*) AS n, array_to_string(list(id || ' (' || name || ')' ORDER BY id, name)[1:3], ', ') AS names, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
+loose AS (SELECT itemtable, replace(lower(identifier), 'ß', 'ss') AS folded, count(*) AS n, array_to_string(list(id || ' (' || name || ')' ORDER BY id, name)[1:3], ', ') AS names, min_by(struct_pack(id, name, template, archived), struct_pack(id, name)) AS item FROM itm WHERE identifier <> '' GROUP BY 1, 2),
+met AS (SELECT i.*, coalesce(e.n, l.n) AS n, coalesce(e.item, l.item) AS item, e.n IS NOT NULL AS direct, CASE WHEN e.n IS NOT NULL THEN e.names ELSE l.names END AS names FROM ident i
         LEFT JOIN exact e ON e.itemtable = i.itemtable AND e.identifier = i.identifier
         LEFT JOIN loose l ON l.itemtable = i.itemtable AND l.folded = replace(lower(i.identifier), 'ß', 'ss')),
 resolved AS (SELECT *, CASE WHEN branch IS NULL THEN 'unbranched' WHEN identifier IS NULL THEN 'unidentified' WHEN n IS NULL THEN 'unmatched' WHEN n > 1 THEN 'ambiguous' WHEN item.archived THEN 'archived' END AS why FROM met)
@@ -108,13 +108,31 @@ def resolve_attachments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(RESOLVED_SQL + """, b(branch, prefix) AS (VALUES (0, 'FG-'), (1, 'FG-00000'), (2, 'RM-'), (3, 'PK-00000001'), (4, 'PK-'))
 SELECT prefix, count(r.path)::BIGINT AS files, (count(*) FILTER (r.path IS NOT NULL AND why IS NULL))::BIGINT AS matched, (count(*) FILTER (why = 'unidentified'))::BIGINT AS unidentified,
-       (count(*) FILTER (why = 'unmatched'))::BIGINT AS unmatched, (count(*) FILTER (why = 'ambiguous'))::BIGINT AS ambiguous, (count(*) FILTER (why = 'archived'))::BIGINT AS archived,
+       (count(*) FILTER (r.path IS NOT NULL AND why IS NULL AND NOT direct))::BIGINT AS folded, (count(*) FILTER (why = 'unmatched'))::BIGINT AS unmatched, (count(*) FILTER (why = 'ambiguous'))::BIGINT AS ambiguous, (count(*) FILTER (why = 'archived'))::BIGINT AS archived,
        count(DISTINCT CASE WHEN why IS NULL THEN item.id END)::BIGINT AS items
 FROM b LEFT JOIN resolved r ON r.branch = b.branch GROUP BY prefix""")
 def branch_match_rates(spark: SparkSession, folder: str) -> DataFrame:
     return J.match_rates(attachments(spark, folder), BRANCHES)
 
 
+@query(RESOLVED_SQL + "SELECT source, identifier, n::BIGINT AS items, names FROM resolved WHERE why = 'ambiguous'")
+def ambiguous_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose identifier several items share, with how many and the first of them."""
+    found = attachments(spark, folder).filter("why = 'ambiguous'").select("source", "itemtable", "identifier", "names")
+    items = items_of(spark, folder).filter("identifier <> ''")
+    exact = items.groupBy("itemtable", "identifier").agg(F.count("*").alias("_e"))
+    loose = items.groupBy("itemtable", casefold(F.col("identifier")).alias("_f")).agg(F.count("*").alias("_l"))
+    met = found.join(exact, ["itemtable", "identifier"], "left").withColumn("_f", casefold(F.col("identifier"))).join(loose, ["itemtable", "_f"], "left")
+    return met.select("source", "identifier", F.coalesce("_e", "_l").alias("items"), "names")
+
+
+@query(RESOLVED_SQL + """SELECT count(*)::BIGINT AS files, (count(*) FILTER (why IS NULL))::BIGINT AS matched, (count(*) FILTER (why = 'unbranched'))::BIGINT AS unbranched,
+  count(*) = count(*) FILTER (why IS NULL) AS legible FROM resolved""")
+def legibility_verdict(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every file reaches one live item."""
+    return J.legible(attachments(spark, folder))
+
+
 @query(RESOLVED_SQL + "SELECT source, identifier FROM resolved WHERE branch = 3")
 def identifier_by_filename(spark: SparkSession, folder: str) -> DataFrame:
     return J.identify(files_tree(spark, folder), BRANCHES).filter("branch = 3").select("source", "identifier")
@@ -126,6 +144,11 @@ def tree_levels(spark: SparkSession, folder: str) -> DataFrame:
     return T.levels(files_tree(spark, folder))
 
 
+@query(f"WITH {TREE_SQL} SELECT count(*)::BIGINT AS files, (count(*) FILTER (depth = 0))::BIGINT AS loose, count(DISTINCT depth) > 1 AS mixed, coalesce(max(depth), 0) = 0 AS flat FROM tree")
+def depth_flags(spark: SparkSession, folder: str) -> DataFrame:
+    return T.depth_flags(files_tree(spark, folder))
+
+
 @query(f"WITH {TREE_SQL} SELECT depth::INT AS depth, count(*)::BIGINT AS files FROM tree GROUP BY 1")
 def depth_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return T.depth_histogram(files_tree(spark, folder))
@@ -174,6 +197,24 @@ def kind_counts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "extracted").groupBy("kind").agg(F.count("*").alias("files"))
 
 
+@query(r"""WITH h AS (SELECT extractid, lower(regexp_extract(path, '\.([^./]+)$', 1)) AS ext, upper(hex(encode(left(coalesce(textfile, ''), 8))))[1:16] AS head FROM extracted),
+s AS (SELECT *, CASE WHEN starts_with(head, '25504446') THEN 'pdf' WHEN starts_with(head, '504B0304') THEN 'zip' WHEN starts_with(head, 'D0CF11E0A1B11AE1') THEN 'ole' WHEN starts_with(head, 'FFD8FF') THEN 'jpg'
+  WHEN starts_with(head, '89504E470D0A1A0A') THEN 'png' WHEN starts_with(head, '47494638') THEN 'gif' WHEN starts_with(head, '49492A00') OR starts_with(head, '4D4D002A') THEN 'tif' END AS said FROM h)
+SELECT extractid, head, said, CASE WHEN said = 'pdf' AND ext <> 'pdf' THEN 'pdf' WHEN said = 'ole' AND ext IN ('docx', 'xlsx', 'pptx') THEN left(ext, 3) WHEN said = 'zip' AND ext IN ('doc', 'xls', 'ppt') THEN ext || 'x' ELSE ext END AS ext FROM s""")
+def magic_sniff(spark: SparkSession, folder: str) -> DataFrame:
+    """What the first bytes of a record stand for, and the suffix to read it by."""
+    head = F.hex(F.substring(F.encode(F.coalesce("textfile", F.lit("")), "UTF-8"), 1, 8))
+    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    return table(spark, folder, "extracted").select("extractid", head.alias("head"), sniff(head).alias("said"), true_extension(ext, head).alias("ext"))
+
+
+@query("SELECT extractid, least(coalesce(pages, 0), 3)::INT AS three, least(coalesce(pages, 0), 1)::INT AS first, least(coalesce(pages, 0), 40)::INT AS every, 0::INT AS none FROM extracted")
+def pages_rendered(spark: SparkSession, folder: str) -> DataFrame:
+    """How many pages of each record are rendered by what is asked for."""
+    asked = {"three": "3", "first": "first", "every": "all", "none": "none"}
+    return table(spark, folder, "extracted").select("extractid", *[pages_to_render(v, F.col("pages"), 40).alias(c) for c, v in asked.items()])
+
+
 @query(f"""SELECT extractid, len({sql_strip("coalesce(textfile, '')")})::INT AS chars, len(regexp_replace(coalesce(textfile, ''), '[^\\p{{L}}\\p{{Nl}}\\p{{No}}]', '', 'g'))::INT AS letters FROM extracted""".replace("\\\\p", "\\p"))
 def letters_and_chars(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("textfile", F.lit(""))
@@ -240,7 +281,7 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
     record = F.max_by(F.struct("kind", "ocrtextfile", "ocrchars", "images", "path"), F.struct("extractedat", "extractid"))
     read = table(spark, folder, "extracted").groupBy("path").agg(record.alias("r")).select("r.*")
     read = read.select(F.col("path").alias("source"), F.array_join(R.read_from(), "+").alias("read"), R.images_of().alias("images"))
-    found = attachments(spark, folder).filter(F.col("why").isNull()).select("source", "sha", "itemtable", F.col("path").alias("relativepath"), "hint")
+    found = attachments(spark, folder).filter(F.col("why").isNull()).select("source", "sessionid", "sha", "itemtable", "itemtemplate", F.col("path").alias("relativepath"), "hint")
     return found.join(read, "source", "left")
 
 
@@ -248,11 +289,10 @@ PAIRS_SQL = RESOLVED_SQL + """, rec AS (SELECT *, row_number() OVER (PARTITION B
 rd AS (SELECT path AS source, coalesce(ocrtextfile IS NOT NULL AND ocrchars >= 120, false) AS o, kind, len(images) AS pictures FROM rec WHERE k = 1),
 rd2 AS (SELECT source, CASE kind WHEN 'text' THEN 'textfile' WHEN 'sparse-text' THEN CASE WHEN o THEN 'textfile+ocrtextfile' ELSE 'textfile+images' END
    WHEN 'image-only' THEN CASE WHEN o THEN 'ocrtextfile' ELSE 'images' END WHEN 'image' THEN CASE WHEN o THEN 'ocrtextfile' ELSE 'path' END END AS read, kind, pictures FROM rd),
-pairs AS (SELECT r.source, r.sha, r.itemtable, r.path AS relativepath, r.hint, d.read, CASE WHEN read LIKE '%images' THEN coalesce(pictures, 0) WHEN read = 'path' THEN 1 ELSE 0 END AS images
+pairs AS (SELECT r.source, r.sessionid, r.sha, r.itemtable, r.item.template AS itemtemplate, r.path AS relativepath, r.hint, d.read, CASE WHEN read LIKE '%images' THEN coalesce(pictures, 0) WHEN read = 'path' THEN 1 ELSE 0 END AS images
           FROM resolved r LEFT JOIN rd2 d ON d.source = r.source WHERE r.why IS NULL),
 ids AS (SELECT sha, itemtable, sha[1:8] AS stem, row_number() OVER (PARTITION BY sha[1:8] ORDER BY sha, itemtable) AS k FROM (SELECT DISTINCT sha, itemtable FROM pairs)),
-readings AS (SELECT p.sha, p.itemtable, list(relativepath ORDER BY relativepath) AS files, min_by(struct_pack(read, images), relativepath) FILTER (read IS NOT NULL) AS f,
-                    array_to_string(list_sort(list(DISTINCT hint) FILTER (hint IS NOT NULL)), '|') AS hints FROM pairs p GROUP BY 1, 2)
+readings AS (SELECT p.sha, p.itemtable, count(*) AS files, min(relativepath) AS first_file, min_by(struct_pack(read, images), relativepath) FILTER (read IS NOT NULL) AS f FROM pairs p GROUP BY 1, 2)
 """
 
 
@@ -261,17 +301,43 @@ def reading_ids(spark: SparkSession, folder: str) -> DataFrame:
     return R.reading_ids(pairs(spark, folder))
 
 
-@query(PAIRS_SQL + "SELECT sha, itemtable, array_to_string(files, '|') AS files, coalesce(hints, '') AS hints, f.read AS read, coalesce(f.images, 0)::INT AS images FROM readings")
+@query(PAIRS_SQL + "SELECT sha, itemtable, files::BIGINT AS files, first_file, f.read AS read, coalesce(f.images, 0)::INT AS images FROM readings")
 def readings(spark: SparkSession, folder: str) -> DataFrame:
-    return R.readings(pairs(spark, folder)).select("sha", "itemtable", F.array_join("files", "|").alias("files"), F.array_join("hints", "|").alias("hints"), "read", "images")
+    return R.readings(pairs(spark, folder))
+
+
+@query(PAIRS_SQL + "SELECT sha, itemtable, relativepath FROM pairs")
+def reading_files(spark: SparkSession, folder: str) -> DataFrame:
+    return R.reading_files(pairs(spark, folder))
+
+
+@query(PAIRS_SQL + "SELECT DISTINCT sha, itemtable, hint FROM pairs WHERE hint IS NOT NULL")
+def reading_hints(spark: SparkSession, folder: str) -> DataFrame:
+    return R.reading_hints(pairs(spark, folder))
 
 
-@query()
+@query(PAIRS_SQL.replace("WITH", "WITH RECURSIVE", 1) + """, ready AS (SELECT CASE WHEN i.k = 1 THEN stem ELSE stem || '-' || i.k END AS readingid, r.itemtable, coalesce(f.images, 0) AS images,
+    row_number() OVER (ORDER BY r.itemtable, first_file, CASE WHEN i.k = 1 THEN stem ELSE stem || '-' || i.k END) AS place FROM readings r JOIN ids i ON i.sha = r.sha AND i.itemtable = r.itemtable WHERE f.read IS NOT NULL),
+cuts AS (SELECT place, readingid, itemtable, images, 1 AS batch, 1 AS held, images AS carried FROM ready WHERE place = 1
+  UNION ALL SELECT n.place, n.readingid, n.itemtable, n.images, CASE WHEN c.held = 20 OR (c.carried > 0 AND c.carried + n.images > 12) THEN c.batch + 1 ELSE c.batch END,
+    CASE WHEN c.held = 20 OR (c.carried > 0 AND c.carried + n.images > 12) THEN 1 ELSE c.held + 1 END, CASE WHEN c.held = 20 OR (c.carried > 0 AND c.carried + n.images > 12) THEN n.images ELSE c.carried + n.images END
+  FROM cuts c JOIN ready n ON n.place = c.place + 1)
+SELECT readingid, itemtable, images::BIGINT AS images, batch::BIGINT AS batch FROM cuts""")
 def batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Readings cut into batches; held against a plain loop in the tests."""
+    """Readings cut into batches."""
     found = pairs(spark, folder)
     ready = R.readings(found).filter(F.col("read").isNotNull()).join(R.reading_ids(found), ["sha", "itemtable"])
-    return R.batches(ready.select("readingid", "itemtable", F.col("files")[0].alias("first_file"), "images"))
+    return R.batches(ready.select("readingid", "itemtable", "first_file", "images"))
+
+
+@query(PAIRS_SQL + """, m AS (SELECT sha, min_by(array_to_string(splitby, ', '), formkey) AS splitsinto FROM (SELECT formkey, splitby, unnest(members) AS sha FROM forms WHERE len(splitby) > 0) GROUP BY sha)
+SELECT i.sha, i.itemtable, m.splitsinto FROM ids i LEFT JOIN m ON m.sha = i.sha""")
+def readings_with_split_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings and, where their form splits by value, by which."""
+    forms = table(spark, folder, "forms").filter(F.size("splitby") > 0)
+    rules = forms.select(F.col("formkey").alias("form"), F.array_join("splitby", ", ").alias("splitsinto"))
+    members = forms.select(F.col("formkey").alias("form"), F.explode("members").alias("sha"))
+    return R.with_split_rule(R.reading_ids(pairs(spark, folder)), members, rules).select("sha", "itemtable", "splitsinto")
 
 
 @query(PAIRS_SQL + """, m AS (SELECT DISTINCT unnest(members) AS sha FROM forms WHERE len(coalesce(splitby, [])) = 0)
@@ -298,11 +364,6 @@ def ignored_files(spark: SparkSession, folder: str) -> DataFrame:
     return excluded(spark, folder).filter(F.col("why").isNotNull()).select("name", F.array_join("folders", "/").alias("folder"), "why")
 
 
-@query(RESOLVED_SQL + "SELECT name, path, why FROM resolved WHERE why IS NOT NULL")
-def files_with_issues(spark: SparkSession, folder: str) -> DataFrame:
-    return attachments(spark, folder).filter(F.col("why").isNotNull()).select("name", "path", "why").orderBy("why", "path")
-
-
 @query(f"""WITH t AS (SELECT DISTINCT path FROM files), a AS (SELECT path, 'answered' AS o FROM classifications WHERE coalesce(documenttemplateid, '') <> ''),
 b AS (SELECT path, 'open' AS o FROM classifications WHERE coalesce(documenttemplateid, '') = ''), p AS (SELECT * FROM a UNION ALL SELECT * FROM b),
 c AS (SELECT path, count(*) AS n, array_to_string(list_sort(list(DISTINCT o)), '|') AS outcomes FROM p GROUP BY path)

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import html
+import re
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,21 +33,60 @@ def list_files(spark: SparkSession, folder: str, own_output: str = "") -> DataFr
     return found.filter(casefold(name) != own_output.casefold()) if own_output else found
 
 
+@contextmanager
+def opened(path: str):
+    """A file to read from, by its address, on whichever file system it is."""
+    parts = urlparse(path)
+    if parts.scheme in ("", "file"):
+        with open(unquote(parts.path) if parts.scheme else path, "rb") as f:
+            yield f
+    else:
+        from pyarrow.fs import FileSystem
+
+        system, name = FileSystem.from_uri(path)
+        with system.open_input_stream(name) as f:
+            yield f
+
+
+def listed_inputs(spark: SparkSession, target: str, own_output: str = "") -> DataFrame:
+    """The paths of a folder, or those a ``.json`` list names: paths, or objects with a path, bare or under documents."""
+    if not target.lower().endswith(".json"):
+        return list_files(spark, target, own_output).select("path")
+    raw = spark.read.text(target, wholetext=True)
+    # Both shapes of a list, bare or under "documents"; objects that are asked for their text give it whole.
+    bare = F.from_json("value", "array<string>")
+    held = F.from_json(F.get_json_object("value", "$.documents"), "array<string>")
+    entry = F.explode(F.coalesce(held, bare)).alias("entry")
+    path = F.when(F.col("entry").startswith("{"), F.get_json_object("entry", "$.path")).otherwise(F.col("entry"))
+    return raw.select(entry).select(path.alias("path")).filter(F.col("path").isNotNull())
+
+
 def existing(wanted: DataFrame, listed: DataFrame) -> DataFrame:
     """Each wanted path once, with whether it is there."""
     return wanted.select("path").distinct().join(listed.select("path").distinct().withColumn("there", F.lit(True)), "path", "left").withColumn("there", F.coalesce("there", F.lit(False)))
 
 
-def hash_files(spark: SparkSession, folder: str, excluded: DataFrame | None = None) -> DataFrame:
-    """path, sha and first bytes of each file; excluded paths are dropped before any content is read."""
-    if excluded is None:
-        chosen = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    else:
-        keep = [r[0] for r in list_files(spark, folder).join(excluded.select("path"), "path", "left_anti").select("path").toLocalIterator()]
-        if not keep:
-            return spark.createDataFrame([], "path string, sha string, head string")
-        chosen = spark.read.format("binaryFile").load(keep)
-    return chosen.select("path", F.sha2("content", 256).alias("sha"), F.hex(F.substring("content", 1, 8)).alias("head"))
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for path in b.column(0).to_pylist():
+            digest, head = hashlib.sha256(), b""
+            with opened(path) as f:
+                while part := f.read(1 << 20):
+                    head = head or part[:8]
+                    digest.update(part)
+            out.append((path, digest.hexdigest(), head.hex().upper()))
+        yield pa.RecordBatch.from_pylist([dict(zip(("path", "sha", "head"), r)) for r in out], pa.schema([("path", pa.string()), ("sha", pa.string()), ("head", pa.string())]))
+
+
+def hash_files(spark: SparkSession, folder: str, excluded: DataFrame | None = None, own_output: str = "") -> DataFrame:
+    """path, sha and first bytes of each file; excluded paths are dropped before any content is read.
+
+    Contents are read in parts where the file's row is, so a file may be of any size and no path goes through the driver.
+    """
+    listed = list_files(spark, folder, own_output).select("path")
+    kept = listed if excluded is None else listed.join(excluded.select("path").distinct(), "path", "left_anti")
+    return kept.mapInArrow(_hashes, "path string, sha string, head string")
 
 
 def sniff(head: Column) -> Column:
@@ -101,9 +148,72 @@ def to_convert(hashed: DataFrame, cache: DataFrame) -> DataFrame:
     return hashed.join(cache.select("sha").distinct(), "sha", "left_anti")
 
 
+#: Turns the bytes of a file into its text; raises where it cannot.
+Converter = Callable[[bytes], str]
+
+
+def read_plain(content: bytes) -> str:
+    return content.decode("utf-8", errors="replace")
+
+
+def read_web_page(content: bytes) -> str:
+    """The text of a web page: scripts and styles left out, tags as spaces."""
+    bare = re.sub(r"(?is)<(script|style).*?</\1>", " ", read_plain(content))
+    return html.unescape(re.sub(r"<[^>]+>", " ", bare))
+
+
+#: What is read without further packages; converters of other kinds are given beside these.
+CONVERTERS: dict[str, Converter] = {**{ext: read_plain for ext in PLAIN}, "html": read_web_page, "htm": read_web_page}
+#: Characters of a reason why a file could not be read.
+MOST_REASON = 200
+
+
+def convert(paths: DataFrame, converters: dict[str, Converter] | None = None) -> DataFrame:
+    """(path, ext, text, error): what a converter makes of each file; exactly one of text and error is null.
+
+    paths: path.  The converter is that of the suffix; where none is there, or it fails, that of the suffix that the
+    first bytes stand for.  Without either the error is ``unsupported``, for a file that is gone ``missing``, else what
+    the converter said.  converters: by suffix, beside those that are built in, whose places they take.
+    """
+    known = {**CONVERTERS, **(converters or {})}
+
+    def one(path: str) -> dict:
+        name = path.rsplit("/", 1)[-1]
+        ext = name.rsplit(".", 1)[-1].lower() if "." in name[1:] else ""
+        try:
+            with opened(path) as f:
+                content = f.read()
+        except FileNotFoundError:
+            return {"path": path, "ext": ext, "text": None, "error": "missing"}
+        head = content[:8].hex().upper()
+        said = next((e for start, e in SIGNATURES if head.startswith(start)), None)
+        error = "unsupported"
+        for suffix in dict.fromkeys((ext, said)):
+            if suffix in known:
+                try:
+                    return {"path": path, "ext": suffix, "text": known[suffix](content), "error": None}
+                except Exception as x:  # whatever a plugged-in converter raises is the file's reason
+                    error = f"{type(x).__name__}: {x}"[:MOST_REASON]
+        return {"path": path, "ext": ext, "text": None, "error": error}
+
+    schema = pa.schema([("path", pa.string()), ("ext", pa.string()), ("text", pa.string()), ("error", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_pylist([one(path)], schema)
+
+    return paths.select("path").mapInArrow(run, "path string, ext string, text string, error string")
+
+
 def plain_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, text) of files that are text already; tags of web pages become spaces.  Converters plug in beside it."""
-    raw = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("path"))
-    ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    text = F.when(ext.isin("html", "htm"), F.regexp_replace(F.regexp_replace("value", r"(?is)<(script|style).*?</\1>", " "), "<[^>]+>", " ")).otherwise(F.col("value"))
-    return raw.filter(ext.isin(*PLAIN)).select("path", text.alias("text"))
+    """(path, text) of the files of a folder that are text already or web pages."""
+    return convert(list_files(spark, folder)).filter(F.col("text").isNotNull()).select("path", "text")
+
+
+def pages_to_render(value: str, pages: Column, most: int) -> Column:
+    """How many pages from the front are rendered: ``none``, ``first``, ``all`` (up to the most) or a number of them."""
+    words = {"none": 0, "first": 1, "all": most}
+    if value not in words and not (value.isdecimal() and int(value) > 0):
+        raise ValueError(f"pages are none, first, all or a number from 1 on, not {value!r}")
+    return F.least(F.coalesce(pages, F.lit(0)), F.lit(words[value] if value in words else int(value)))

@@ -38,6 +38,22 @@ def read_answers(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return raw.withColumn("answer", parsed).select("file", "answer.*", F.when(F.try_parse_json("value").isNull(), "not JSON").alias("fault"))
 
 
+def answer_outcomes(tasks: DataFrame, answers: DataFrame, key: str) -> DataFrame:
+    """Each task with what came back: ``answered``, ``missing``, ``unreadable`` or ``wrong id``; then the answer's fields.
+
+    tasks: key.  answers: file, fault and fields, the key among them, as of ``read_answers``; a task's file is named by
+    it.  An answer counts only under the id it names, so that of another form is refused; null fields unless answered.
+    """
+    stem = F.regexp_replace("file", r"\.[^.]*$", "")
+    back = answers.select(stem.alias(key), F.col(key).alias("_said"), "fault", F.struct(*[c for c in answers.columns if c not in ("file", "fault", key)]).alias("_answer"), F.lit(True).alias("_there"))
+    first = back.groupBy(key).agg(F.min_by(F.struct("_said", "fault", "_answer", "_there"), F.to_json(F.struct("_said", "fault", "_answer"))).alias("b"))
+    joined = tasks.select(key).distinct().join(first, key, "left")
+    outcome = F.when(F.col("b._there").isNull(), "missing").when(F.col("b.fault").isNotNull(), "unreadable").when(~F.col("b._said").eqNullSafe(F.col(key).cast("string")), "wrong id").otherwise("answered")
+    told = joined.withColumn("outcome", outcome)
+    fields = [c for c in answers.columns if c not in ("file", "fault", key)]
+    return told.select(key, "outcome", *[F.when(F.col("outcome") == "answered", F.col(f"b._answer.{c}")).alias(c) for c in fields])
+
+
 def read_types(spark: SparkSession, path: str) -> DataFrame:
     """(type_id, canonical, phrase) of lines ``N: Name | other | other``; lines without a number have none."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
@@ -51,6 +67,26 @@ def fenced(text, name: str, schema: str):
     return F.from_json(F.nullif(F.regexp_extract(text, rf"(?s)```{name}\s*\n(.*?)```", 1), F.lit("")), schema)
 
 
+def fenced_fault(text, name: str):
+    """Why a text has no usable fenced block: none there, or not JSON; null if it has."""
+    body = F.regexp_extract(text, rf"(?s)```{name}\s*\n(.*?)```", 1)
+    return F.when(F.coalesce(body, F.lit("")) == "", "no block").when(F.try_parse_json(body).isNull(), "not JSON")
+
+
+def data_sheets(rows: DataFrame, identifiers: dict[str, str]) -> dict[str, DataFrame]:
+    """One frame for each table, its first column named as the table names its identifier.
+
+    rows: itemtable, identifier and the other columns of a data sheet; identifiers: table -> name of its identifier.
+    """
+    rest = [c for c in rows.columns if c not in ("itemtable", "identifier")]
+    return {t: rows.filter(F.col("itemtable") == t).select(F.col("identifier").alias(name), *rest) for t, name in identifiers.items()}
+
+
+def shown(df: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """The first rows of a report and how many more there are; manifests are never cut."""
+    return df.limit(most), max(df.count() - most, 0)
+
+
 def same_export(first: str, second: str) -> bool:
     """Whether two files come from one export: the last parts of their stems are equal."""
     stem = lambda p: p.rsplit("/", 1)[-1].rsplit(".", 1)[0].rsplit("_", 1)[-1]

@@ -7,7 +7,6 @@ import html
 import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,10 +34,10 @@ def list_files(spark: SparkSession, folder: str, own_output: str = "") -> DataFr
 
 @contextmanager
 def opened(path: str):
-    """A file to read from, by its address, on whichever file system it is."""
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
-        with open(unquote(parts.path) if parts.scheme else path, "rb") as f:
+    """A file to read from, by its address as listings give it (nothing in it is escaped), on whichever file system."""
+    scheme = re.match(r"([a-z][a-z0-9+.-]*):", path)
+    if scheme is None or scheme.group(1) == "file":
+        with open(path if scheme is None else "/" + path[5:].lstrip("/"), "rb") as f:
             yield f
     else:
         from pyarrow.fs import FileSystem

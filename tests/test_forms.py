@@ -97,7 +97,8 @@ def test_signatures_and_views(spark):
     signed = {r[0]: r[1] for r in O.signatures(texts, words, 3).collect()}
     assert signed == {"a": ["BATCH", "REPORT", "RESULT"], "b": ["BATCH", "REPORT", "RESULT"], "c": []}
     keep = spark.createDataFrame([("f", "RESULT")], "form string, word string")
-    view = O.structure_view(texts.withColumn("form", F.lit("f")), keep, FormOptions(header_lines=1)).filter("sha = 'a'").orderBy("line").collect()
+    none = spark.createDataFrame([], "word string, part string")
+    view = O.structure_view(texts.withColumn("form", F.lit("f")), keep, none, FormOptions(header_lines=1)).filter("sha = 'a'").orderBy("line").collect()
     assert [r["view"] for r in view] == ["BATCH REPORT", "RESULT _ _", "_"]
 
 

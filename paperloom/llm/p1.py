@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import merkle
 from paperloom.llm.registry import query
-from paperloom.sources.tables import table
+from paperloom.sources.tables import cut, table
 
 
 def proposals(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,9 +28,8 @@ kept AS (SELECT resultid, sessionid, form, min(resultid) OVER (PARTITION BY sess
 
 @query(SQL + "SELECT firstid, resultid FROM kept WHERE resultid <> firstid")
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = proposals(spark, folder)
-    rows = table(spark, folder, "classifications").count()
-    return merkle.copies(found, rows).select(F.col("first").alias("firstid"), F.col("_row").alias("resultid"))
+    found = cut(proposals(spark, folder))
+    return merkle.copies(found, found.count()).select(F.col("first").alias("firstid"), F.col("_row").alias("resultid"))
 
 
 @query(SQL + "SELECT sessionid, firstid, count(*)::BIGINT AS copies FROM kept GROUP BY ALL")

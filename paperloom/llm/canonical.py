@@ -1,12 +1,15 @@
 """Freely typed names mapped to a short canonical list, with the rest reported.
 
 Values are divided into parts, the parts normalised and deduplicated over the whole cluster.  Candidates of each
-distinct part come from an inverted index of weighted character trigrams over the list's phrases (idf weights, cosine);
-those at or over a cosine are checked by aligning the words: every word of the phrase must be met by words of the part,
-exactly, misspelt, cut short, run together or torn apart, at a total cost under a threshold and with a margin to the
-best other entry.  What else stands in the part (sites, revisions, years) is ignored, except beside bare acronyms.
-
-The list is a few hundred phrases, checked against ``MOST_PHRASES``; it is broadcast.  Null, blank and symbol-only
+distinct part come from an inverted index of weighted character trigrams over the list's phrases, and are scored by
+weighted cosine (idf weights; trigrams that no phrase has weigh nothing, so what stands around a name does not hide it).
+A phrase over the threshold of cosine must also pass a check: every word of it must be met by words of the part, exactly,
+misspelt, cut short, run together or torn apart, at a total cost under a limit.  Of the entries that pass, the one of the
+highest cosine is accepted if its lead on the next is over the margin; within the margin the cheaper alignment decides,
+and if these lie together too, the part stands for nothing.  A bare acronym counts as its phrase, with the cosine 1, if
+little else stands beside it.
+
+The list is a few hundred phrases, checked against ``MOST_PHRASES``; its index is broadcast.  Null, blank and symbol-only
 values map to nothing; very long ones are read whole; ties between two entries map to nothing.  An empty list maps
 nothing.  Repeated rows each get their row.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,9 +32,9 @@ from paperloom.sources.tables import cut
 
 #: Phrases of a list that is broadcast to all workers; a longer list is refused, as it needs another index.
 MOST_PHRASES = 100_000
-#: Least cosine of a candidate; all of that are aligned.
-COSINE = 0.3
-#: Most that an accepted alignment may cost, an edit of a character costing 1; least lead on the next other entry.
+#: Least cosine that is accepted, and least lead in cosine on the next other entry.
+COSINE, LEAD = 0.3, 0.15
+#: Most that the check of words may cost, an edit of a character costing 1; least lead in cost where cosines lie together.
 MOST_COST, MARGIN = 3.3, 0.5
 # Characters that scanners take for letters.
 SWAPPED = str.maketrans("0158", "oisb")
@@ -176,55 +179,64 @@ class Index:
                 df[self.at[g]] += 1
         self.idf = np.log(1 + len(found) / np.maximum(df, 1)).astype(np.float32)
         self.unseen = float(np.log(1 + len(found))) if found else 0.0
-        matrix = np.zeros((len(names) + 1, len(found)), np.float32)
-        for k, f in enumerate(found):
-            for g in f:
-                matrix[self.at[g], k] += self.idf[self.at[g]]
-        self.matrix = matrix / np.maximum(np.sqrt((matrix**2).sum(axis=0)), 1e-9)
-
-    def candidates(self, parts: list[str]) -> Iterator[list[int]]:
-        """For each part the phrases of a cosine over the limit, best first."""
-        for begin in range(0, len(parts), 256):
-            some = [[self.at.get(g, -1) for g in grams(p)] for p in parts[begin : begin + 256]]
-            for f in some:
-                known = np.array([g for g in f if g >= 0], np.int64)
-                if not len(known):
-                    yield []
-                    continue
-                cells, times = np.unique(known, return_counts=True)
-                weight = times * self.idf[cells]
-                # Grams that no phrase has weigh nothing: what stands around a name must not hide it.
-                score = weight @ (self.matrix[cells]) / np.sqrt((weight**2).sum())
-                top = np.flatnonzero(score >= COSINE)
-                yield top[np.argsort(-score[top], kind="stable")].tolist()
-
-    def match(self, part: str, candidates: list[int]) -> tuple[str | None, float]:
-        """(entry, cost) that the part stands for."""
+        # Inverted lists, end to end: of each trigram the phrases that have it, and its share of the phrase's length.
+        cells = [Counter(self.at[g] for g in f) for f in found]
+        length = np.array([np.sqrt(sum((n * self.idf[g]) ** 2 for g, n in c.items())) for c in cells] or [1.0])
+        entries = sorted((g, k, n * self.idf[g] / max(length[k], 1e-9)) for k, c in enumerate(cells) for g, n in c.items())
+        self.begin = np.searchsorted([e[0] for e in entries], np.arange(len(names) + 1))
+        self.phrase = np.array([e[1] for e in entries], np.int32)
+        self.weight = np.array([e[2] for e in entries], np.float32)
+
+    def candidates(self, parts: list[str]) -> Iterator[list[tuple[int, float]]]:
+        """For each part the phrases of a cosine over the limit and that cosine, best first."""
+        for part in parts:
+            times = Counter(k for k in map(self.at.get, grams(part)) if k is not None)
+            if not times:
+                yield []
+                continue
+            mine = [(g, n * float(self.idf[g])) for g, n in times.items()]
+            lists = [slice(self.begin[g], self.begin[g + 1]) for g, _ in mine]
+            where = np.concatenate([self.phrase[x] for x in lists])
+            what = np.concatenate([self.weight[x] * w for x, (_, w) in zip(lists, mine)])
+            score = np.bincount(where, weights=what, minlength=len(self.words)) / np.sqrt(sum(w * w for _, w in mine))
+            top = np.flatnonzero(score >= COSINE)
+            yield [(int(k), float(score[k])) for k in top[np.argsort(-score[top], kind="stable")]]
+
+    def match(self, part: str, candidates: list[tuple[int, float]]) -> tuple[str | None, float]:
+        """(entry, cosine) that the part stands for."""
         seen = tokens(part)
         if not seen:
-            return None, 9.0
-        costs: dict[int, float] = {}
-        for k in candidates:
+            return None, 0.0
+        #: Entry -> best cosine and least cost of its phrases that pass the check.
+        passed: dict[int, tuple[float, float]] = {}
+
+        def take(entry: int, cosine: float, cost_: float) -> None:
+            was = passed.get(entry, (0.0, 9.0))
+            passed[entry] = (max(was[0], cosine), min(was[1], cost_))
+
+        for k, cosine in candidates:
             c, _ = align(self.words[k], seen, MOST_COST)
             if c <= MOST_COST:
                 for e in self.stands[k]:
-                    costs[e] = min(costs.get(e, 9.0), c)
+                    take(e, cosine, c)
         short = {e for t, _ in seen for e in self.acronyms.get(t, ())}
         for e in short:
             mine = {w for k, s in enumerate(self.stands) if e in s for w in self.words[k]}
             rest = [t for t, dot in seen if e not in self.acronyms.get(t, ()) and t.translate(SWAPPED) not in BESIDE and t not in BESIDE and not t.isdigit() and min((cost(t, dot, w) for w in mine), default=9) > 2]
             if not rest:
-                costs[e] = min(costs.get(e, 9.0), 0.0 if len(seen) == 1 else 0.3)
-        if not costs:
-            return None, 9.0
-        order = sorted(costs.items(), key=lambda x: (x[1], x[0]))
-        if len(order) > 1 and order[1][1] - order[0][1] < MARGIN:
-            return None, 9.0
-        return self.entries[order[0][0]], order[0][1]
+                take(e, 1.0, 0.0 if len(seen) == 1 else 0.3)
+        if not passed:
+            return None, 0.0
+        first, *others = sorted(passed.items(), key=lambda x: (-x[1][0], x[1][1], x[0]))
+        # Those within the margin of the best cosine are told apart by the words.
+        near = sorted([first, *(o for o in others if first[1][0] - o[1][0] < LEAD)], key=lambda x: (x[1][1], x[0]))
+        if len(near) > 1 and near[1][1][1] - near[0][1][1] < MARGIN:
+            return None, 0.0
+        return self.entries[near[0][0]], near[0][1][0]
 
 
 def map_parts(parts: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
-    """(part, entry, cost): the distinct parts that stand for an entry."""
+    """(part, entry, cosine): the distinct parts that stand for an entry."""
     if len(phrases) > MOST_PHRASES:
         raise ValueError(f"a list of {len(phrases)} phrases is too long to broadcast")
     held = parts.sparkSession.sparkContext.broadcast(Index(phrases))
@@ -235,9 +247,9 @@ def map_parts(parts: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
             texts = batch.column(0).to_pylist()
             rows = [(t, *index.match(t, c)) for t, c in zip(texts, index.candidates(texts))]
             rows = [r for r in rows if r[1] is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())], ["part", "entry", "cost"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.float64())], ["part", "entry", "cosine"])
 
-    return parts.mapInArrow(run, "part string, entry string, cost double")
+    return parts.mapInArrow(run, "part string, entry string, cosine double")
 
 
 def map_values(values: DataFrame, keys: list[str], phrases: list[tuple[str, str]], rows: int) -> DataFrame:
@@ -254,5 +266,5 @@ def map_values(values: DataFrame, keys: list[str], phrases: list[tuple[str, str]
     # below read the result.
     width = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = cut(map_parts(parts.repartition(width, F.xxhash64("part")), phrases))
-    joined = lookup(exploded, found.select("part", "entry"), ["part"], 4 * rows).filter(F.col("entry").isNotNull())
+    joined = lookup(exploded, found.select("part", "entry"), ["part"], rows).filter(F.col("entry").isNotNull())
     return joined.groupBy(*keys).agg(F.min("entry").alias("entry"), F.max("entry").alias("_other")).filter("entry = _other").drop("_other")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.canonical import MOST_PHRASES, map_values, part_key
 from paperloom.llm.registry import query
-from paperloom.sources.tables import table
+from paperloom.sources.tables import cut, table
 
 
 def typed_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,7 +38,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def p3_unmatched(spark: SparkSession, folder: str) -> DataFrame:
-    """Values that stand for no template, in their deduplicated spelling, with how often they were typed."""
-    keys = ["origin", "recordid", "slot"]
-    rest = typed_names(spark, folder).join(mapped(spark, folder).select(*keys), keys, "left_anti")
-    return rest.groupBy("origin", part_key(F.col("value")).alias("value")).agg(F.count("*").alias("copies"))
+    """Values that stand for no template, in their deduplicated spelling, with how often they were typed.
+
+    Each spelling is mapped once; null values are none.
+    """
+    typed = typed_names(spark, folder).groupBy("origin", part_key(F.col("value")).alias("value")).agg(F.count("*").alias("copies"))
+    spelt = cut(typed)
+    found = map_values(spelt.select("origin", F.col("value").alias("_key"), "value"), ["origin", "_key"], template_phrases(spark, folder), spelt.count())
+    return spelt.join(found.select("origin", F.col("_key").alias("value")), ["origin", "value"], "left_anti")

@@ -33,7 +33,7 @@ def test_index_reaches_what_a_full_comparison_reaches():
     index = Index(LIST)
     for part in ("coluor drift sumary", "shade shfit summary", "tnk rinsing aproval"):
         near = next(index.candidates([part]))
-        assert index.match(part, near) == index.match(part, list(range(len(index.words))))
+        assert index.match(part, near) == index.match(part, [(k, dict(near).get(k, 0.0)) for k in range(len(index.words))])
 
 
 def test_edits():
@@ -42,4 +42,18 @@ def test_edits():
 
 def test_every_phrase_over_the_cosine_is_aligned():
     index = Index([(f"Colour Drift Record {w}", w) for w in "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi".split()])
-    assert sorted(next(index.candidates(["colour drift record"]))) == list(range(16))
+    assert sorted(k for k, _ in next(index.candidates(["colour drift record"]))) == list(range(16))
+
+
+def test_cosine_is_that_of_whole_vectors():
+    import numpy as np
+
+    from paperloom.llm.canonical import grams
+
+    index = Index(LIST)
+    part = "colour shade summary of drums"
+    for k, got in next(index.candidates([part])):
+        names = sorted(index.at)
+        vector = lambda g: np.array([g.count(n) * float(index.idf[index.at[n]]) for n in names])
+        a, b = vector(grams(part)), vector(grams(" ".join(index.words[k])))
+        assert abs(got - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-5 and got >= 0.3

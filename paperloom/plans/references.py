@@ -23,34 +23,32 @@ def items_once(items: DataFrame) -> DataFrame:
     )
 
 
-def answer_references(spark: SparkSession, folder: str) -> list[Reference]:
-    """The three references of classifications to items and templates."""
+def references(spark: SparkSession, folder: str) -> list[Reference]:
+    """The graph: answers name items and templates, and the readings of their file; readings name files.
+
+    A reading of a file that is not there hands that on to the answers of its path.
+    """
     answers = table(spark, folder, "classifications").select("resultid", "itemtable", "identifier", "itemid", "documenttemplateid", "path", "classifiedat")
+    extracted = table(spark, folder, "extracted").select("extractid", "path", "extractedat")
     items = items_once(table(spark, folder, "items"))
     templates = table(spark, folder, "document_templates")
-    row, at = F.col("resultid"), F.col("classifiedat")
-    own = F.col("path")
+    row, at, path = F.col("resultid"), F.col("classifiedat"), blank_to_null(F.col("path"))
     by_id = Parent("items", items, F.col("id"), withdrawn=F.col("withdrawn"), since=F.col("since"))
     by_identifier = Parent("items", items, blank_to_null(casefold(strip(F.col("identifier")))), F.coalesce("itemtable", F.lit("")), F.col("withdrawn"), F.col("since"))
     by_template = Parent("document_templates", templates, F.col("id"), withdrawn=F.col("retiredat").isNotNull(), since=F.col("addedat"))
     return [
-        Reference("itemId", "classifications", answers, row, blank_to_null(F.col("itemid")), by_id, at, own=own),
-        Reference("identifier", "classifications", answers, row, blank_to_null(casefold(strip(F.col("identifier")))), by_identifier, at, F.coalesce("itemtable", F.lit("")), own),
-        Reference("documentTemplateId", "classifications", answers, row, blank_to_null(F.col("documenttemplateid")), by_template, at, own=own),
+        Reference("itemId", "classifications", answers, row, blank_to_null(F.col("itemid")), by_id, at),
+        Reference("identifier", "classifications", answers, row, blank_to_null(casefold(strip(F.col("identifier")))), by_identifier, at, F.coalesce("itemtable", F.lit(""))),
+        Reference("documentTemplateId", "classifications", answers, row, blank_to_null(F.col("documenttemplateid")), by_template, at),
+        Reference("classifications.path", "classifications", answers, row, path, Parent("extracted", extracted, F.col("path")), at),
+        Reference("extracted.path", "extracted", extracted, F.col("extractid"), path, Parent("files", table(spark, folder, "files"), F.col("path")), F.col("extractedat"), own=path),
     ]
 
 
-def file_references(spark: SparkSession, folder: str) -> list[Reference]:
-    """The chain files <- extracted <- classifications, by path; a reading of a missing file hands that on to its answers."""
-    files = Parent("files", table(spark, folder, "files"), F.col("path"))
-    extracted = table(spark, folder, "extracted").select("extractid", "path", "extractedat")
-    answers = table(spark, folder, "classifications").select("resultid", "path", "classifiedat")
-    readings = Parent("extracted", extracted, F.col("path"), since=F.lit(None).cast("timestamp_ntz"))
-    path = blank_to_null(F.col("path"))
-    return [
-        Reference("extracted.path", "extracted", extracted, F.col("extractid"), path, files, F.col("extractedat"), own=path),
-        Reference("classifications.path", "classifications", answers, F.col("resultid"), path, readings, F.col("classifiedat")),
-    ]
+def orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """All orphans of the graph, direct and inherited."""
+    rows = 4 * table(spark, folder, "classifications").count() + table(spark, folder, "extracted").count()
+    return orphan_cascade(references(spark, folder), rows)
 
 
 SPACE = r"[\s\x{0085}\p{Z}\x1c-\x1f]"
@@ -78,32 +76,31 @@ orphans AS (
 """
 
 
-def rows_of_answers(spark: SparkSession, folder: str) -> int:
-    return 3 * table(spark, folder, "classifications").count()
-
-
 @query(FOUND_SQL + "SELECT fieldname, resultid, why FROM orphans WHERE why IS NOT NULL")
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = orphan_cascade(answer_references(spark, folder), rows_of_answers(spark, folder))
+    """The answers whose item or template is missing, withdrawn or late; no answer inherits through these fields."""
+    found = orphans(spark, folder).filter(F.col("_ref").isin("itemId", "identifier", "documentTemplateId") & (F.col("_why") != "inherited"))
     return found.select(F.col("_ref").alias("fieldname"), F.col("_row").alias("resultid"), F.col("_why").alias("why"))
 
 
-@query(FOUND_SQL + "SELECT fieldname, strftime(classifiedat, '%Y-%m') AS month, why, count(*)::BIGINT AS orphans FROM orphans WHERE why IS NOT NULL GROUP BY ALL")
+CHAIN_SQL = FOUND_SQL + """,
+bad_reading AS (SELECT extractid, path, extractedat FROM extracted e WHERE trim(path) <> '' AND NOT EXISTS (SELECT 1 FROM files f WHERE f.path = e.path)),
+chain AS (
+  SELECT 'extracted.path' AS fieldname, extractedat AS moment, 'missing' AS why FROM bad_reading
+  UNION ALL SELECT 'classifications.path', classifiedat, 'missing' FROM classifications c WHERE trim(path) <> '' AND NOT EXISTS (SELECT 1 FROM extracted e WHERE e.path = c.path)
+  UNION ALL SELECT 'classifications.path', classifiedat, 'inherited' FROM classifications c WHERE EXISTS (SELECT 1 FROM bad_reading b WHERE b.path = c.path)),
+every AS (SELECT fieldname, classifiedat AS moment, why FROM orphans WHERE why IS NOT NULL UNION ALL SELECT * FROM chain)
+"""
+
+
+@query(CHAIN_SQL + "SELECT fieldname, strftime(moment, '%Y-%m') AS month, why, count(*)::BIGINT AS orphans FROM every GROUP BY ALL")
 def p5_report(spark: SparkSession, folder: str) -> DataFrame:
-    return orphan_report(orphan_cascade(answer_references(spark, folder), rows_of_answers(spark, folder)))
+    """Orphans of all references by month and reason, direct ones beside inherited ones."""
+    return orphan_report(orphans(spark, folder))
 
 
-@query("""
-WITH bad_reading AS (SELECT extractid, path, extractedat FROM extracted e
-                     WHERE trim(path) <> '' AND NOT EXISTS (SELECT 1 FROM files f WHERE f.path = e.path)),
-found AS (
-  SELECT 'extracted.path' AS fieldname, extractedat AS moment, 'missing' AS why FROM bad_reading
-  UNION ALL SELECT 'classifications.path', classifiedat, 'missing' FROM classifications c
-            WHERE trim(path) <> '' AND NOT EXISTS (SELECT 1 FROM extracted e WHERE e.path = c.path)
-  UNION ALL SELECT 'classifications.path', classifiedat, 'inherited' FROM classifications c
-            WHERE EXISTS (SELECT 1 FROM bad_reading b WHERE b.path = c.path))
-SELECT fieldname, strftime(moment, '%Y-%m') AS month, why, count(*)::BIGINT AS orphans FROM found GROUP BY ALL
-""")
+@query(CHAIN_SQL + """SELECT fieldname, (count(*) FILTER (why <> 'inherited'))::BIGINT AS direct, (count(*) FILTER (why = 'inherited'))::BIGINT AS inherited FROM every GROUP BY fieldname""")
 def p5_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "classifications").count() + table(spark, folder, "extracted").count()
-    return orphan_report(orphan_cascade(file_references(spark, folder), rows))
+    """How many orphans of each reference are direct and how many inherit it."""
+    why = F.col("_why")
+    return orphans(spark, folder).groupBy(F.col("_ref").alias("fieldname")).agg(F.count_if(why != "inherited").alias("direct"), F.count_if(why == "inherited").alias("inherited"))

@@ -53,3 +53,18 @@ def test_lookup_with_a_hot_key(spark):
     assert mine.count() == 60_000
     assert mine.select("k", "row", "v").exceptAll(plain.select("k", "row", "v")).count() == 0
     assert plain.select("k", "row", "v").exceptAll(mine.select("k", "row", "v")).count() == 0
+
+
+def test_a_long_chain_is_followed_to_its_end_within_scopes(spark):
+    rows = spark.createDataFrame([("n0", "gone", "s")] + [(f"n{k}", f"n{k - 1}", "s") for k in range(1, 12)] + [("m", "n3", "other"), ("n4", None, "third"), ("k", "n4", "third")], "id string, up string, scope string")
+    p = Parent("t", rows, F.col("id"), scope=F.col("scope"))
+    r = Reference("up", "t", rows, F.col("id"), F.col("up"), p, own=F.col("id"), own_scope=F.col("scope"), scope=F.col("scope"))
+    got = {x["_row"]: (x["_why"], x["_round"]) for x in orphan_cascade([r], 20).collect()}
+    assert got == {"n0": ("missing", 0), "m": ("missing", 0), **{f"n{k}": ("inherited", k) for k in range(1, 12)}}
+
+
+def test_several_references_of_one_table(spark):
+    p, q = parent(spark, [("a", False, EARLY)]), parent(spark, [("b", True, EARLY)], "q")
+    rows = spark.createDataFrame([(1, "a", "b"), (2, "x", None), (3, None, None)], "id bigint, one string, two string")
+    refs = [Reference(c, "child", rows, F.col("id"), F.col(c), x) for c, x in (("one", p), ("two", q))]
+    assert {(x["_ref"], x["_row"], x["_why"]) for x in orphan_cascade(refs, 10).collect()} == {("two", 1, "deleted"), ("one", 2, "missing")}

@@ -1,10 +1,10 @@
 """Lines of scanned pages: running headers, footers and page numbers; words broken at line ends.
 
 A document's lines are described by what surrounds them: whether text goes on across them, how they repeat in the
-document, how they look with numbers and unknown words masked, and how such a look fares in the whole corpus.  Certain
-cases (a page number in a place for one; a line that recurs, page after page) label themselves; a boosted classifier
-learns the rest from them, shown each without what made it certain.  The first of a document's own title, and numbers
-after a colon or inside text, stay content.
+document, how they look with numbers and unknown words masked, and how such a look fares in the whole corpus.  Rules
+only label the cases to learn from (a page number in a place for one; a line that recurs, page after page; a title, a
+number after a colon, a list); a boosted classifier learns from them, most of them shown without what made them certain,
+and decides every line that can be furniture at all.
 
 A word is broken when a content line ends in a division mark after a letter and the next content line goes on with the
 rest: the two parts together are a known word, or the mark is one that only divides, or the parts are no words and no
@@ -107,12 +107,11 @@ def plain_runs(lines: list[Line]) -> list[int]:
     out = [0] * len(lines)
     begin = 0
     for i, x in enumerate(lines):
-        if x.page or x.low or x.text[-1] == "." or x.prose:
-            begin = i + 1
-            continue
-        for k in range(begin, i + 1):
-            out[k] = i + 1 - begin
-        if x.gap:
+        plain = not (x.page or x.low or x.text[-1] == "." or x.prose)
+        end = i + plain
+        # A run ends before prose, after a gap and with the text.
+        if not plain or x.gap or i + 1 == len(lines):
+            out[begin:end] = [end - begin] * (end - begin)
             begin = i + 1
     return out
 
@@ -122,8 +121,9 @@ def _alike(a: str, b: str) -> bool:
     return len(a) >= 8 and abs(len(a) - len(b)) <= 2 and (a[:4] == b[:4] or a[-4:] == b[-4:]) and edits(a, b, 2) <= 2
 
 
-def lines_of(text: str, known, full: bool = False) -> list[Line]:
-    """The lines that are not blank, described; the sure ones decided.  full: what the classifier sees of sure ones too.
+def lines_of(text: str, known, rows: bool = True, every: bool = False) -> list[Line]:
+    """The lines that are not blank; those that can be furniture described, and labelled where a rule is sure.  every:
+    all others too, as content.
 
     Most lines of a text begin in lower case or end a sentence and can be no running lines; they are not looked at.
     """
@@ -161,11 +161,18 @@ def lines_of(text: str, known, full: bool = False) -> list[Line]:
             running.append(x)
     keys = [k for k in some if len(k) >= 8]
     near: Counter[str] = Counter(some)
-    for i, a in enumerate(keys):
-        for b in keys[i + 1 :]:
-            if _alike(a, b):
-                near[a] += some[b]
-                near[b] += some[a]
+    # Two looks that are one have their first or their last characters in common.
+    ends: dict[tuple[int, str], list[str]] = {}
+    met: set[tuple[str, str]] = set()
+    for b in keys:
+        for end in ((0, b[:4]), (1, b[-4:])):
+            listed = ends.setdefault(end, [])
+            for a in listed:
+                if (a, b) not in met and _alike(a, b):
+                    met.add((a, b))
+                    near[a] += some[b]
+                    near[b] += some[a]
+            listed.append(b)
     for x in running:
         x.repeats = near[x.key]
         x.shape = shape_of(x.key, known)
@@ -190,7 +197,7 @@ def lines_of(text: str, known, full: bool = False) -> list[Line]:
     for i, x in enumerate(out):
         if not (x.candidate or x.page or x.bare):
             x.sure = 0
-            if not full:
+            if not every:
                 continue
         s = x.text
         before, after = out[i - 1] if i else None, out[i + 1] if i + 1 < len(out) else None
@@ -221,7 +228,7 @@ def lines_of(text: str, known, full: bool = False) -> list[Line]:
             x.sure = 0
         elif x.prose and not edge and x.repeats == 1 and len(s) > 0.7 * width:
             x.sure = 0
-        if full or x.sure is None:
+        if rows:
             spoken = WORD.findall(s.lower())
             x.row = [
                 float(x.page), float(x.bare), float(x.fragment), min(x.repeats, 6), float(x.like_title), float(x.title), float(open_before), float(after is not None and after.low),
@@ -254,15 +261,13 @@ def with_shapes(lines: list[Line], shapes: dict[str, tuple[int, int]]) -> np.nda
 
 
 def furniture_of(documents: list[list[Line]], shapes, model) -> list[list[bool]]:
-    """Which lines of each document are furniture; the open lines of all documents are classified at once."""
-    out = [[x.sure == 1 for x in lines] for lines in documents]
-    open_ = [(d, k) for d, lines in enumerate(documents) for k, x in enumerate(lines) if x.sure is None]
+    """Which lines of each document are furniture; the lines of all documents are classified at once."""
+    out = [[False] * len(lines) for lines in documents]
+    open_ = [(d, k) for d, lines in enumerate(documents) for k, x in enumerate(lines) if x.row]
     if open_:
-        rows = with_shapes([documents[d][k] for d, k in open_], shapes)
-        likely = model.probability(rows) > 0.5
-        for (d, k), row, yes in zip(open_, rows, likely):
-            # Fixed rule: a look that recurs in most of four lines or more speaks for itself.
-            out[d][k] = bool(yes) or (documents[d][k].candidate and row[-2] > 0.5 and row[-1] > 1.38)
+        likely = model.probability(with_shapes([documents[d][k] for d, k in open_], shapes)) > 0.5
+        for (d, k), yes in zip(open_, likely.tolist()):
+            out[d][k] = yes
     return out
 
 

@@ -3,12 +3,14 @@
 Pass 1 counts, over all documents, words inside lines, hyphenated compounds and the looks of lines.  Words over a share
 of all words are the lexicon, which is bounded in size whatever the input.  Pass 2 walks each document's lines, decides
 furniture and breaks (``pages``), and hands on the words of content lines that the lexicon does not vouch for.  Distinct
-suspects meet the lexicon in a join on character q-grams; boosted trees rank the candidates; suspects whose best
-candidate is likely are misread.  Letters with a scanner's digit or sign between them are misread without a candidate.
+suspects meet the lexicon in a join on character q-grams, the rarest of each word first; boosted trees rank the
+candidates; suspects whose best candidate is likely are misread.  A suspect with a scanner's digit or sign between its
+letters may be a name that no lexicon has, so what it says with letters there is one more candidate for the trees.
 
-The trees learn from the lexicon itself: words damaged by the confusions that the corpus shows are right to be replaced
-by their original, undamaged words and words with other neighbours are not.  Line trees learn from at most
-``SAMPLE_LINES`` lines.  Counts, the lexicon, candidates and decisions cover all documents and whole texts.
+The trees learn from the lexicon itself: words damaged by the confusions of the fixed list are right to be replaced by
+their original, undamaged words and words with other neighbours are not; invented names with a sign for a letter are
+right to be read with letters, codes of letters and digits are not.  Line trees learn from at most ``SAMPLE_LINES`` lines
+of ``SAMPLE_LINES`` / 40 documents; only their descriptions leave the workers.  Counts, the lexicon, candidates and decisions cover all documents and whole texts.
 
 Null and blank texts have no lines and give no rows; an empty table gives none.  Repeated keys are separate documents
 only if their rows differ; lines are numbered by line feeds, from 1.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from paperloom.llm.boost import Boosted
 from paperloom.llm.canonical import edits
 from paperloom.llm.pages import EDGE, EVIDENCE, MARKS, Joins, division, fit_joins, furniture_of, is_furniture, lines_of, prose, with_shapes
-from paperloom.operators.skew import lookup
+from paperloom.operators.skew import lookup, small
 from paperloom.sources.tables import cut
 
 #: A word or look is known from this share of all of its kind; so at most 1 / KNOWN are.
@@ -40,8 +42,9 @@ SAMPLE_LINES, SAMPLE_WORDS = 20_000, 1_500
 RARER = 20
 COUNT_AT_ONCE = 300_000
 ACCEPT = 0.5
-#: Longest word that is looked up.
-LONGEST = 48
+#: Shared q-grams (bigrams of the padded word, without repeats) must be half of the longer word's but this many, and the
+#: numbers of q-grams may differ by this much.
+SLACK, LENGTHS = 4, 3
 
 # Characters that scanners take for others, seen and meant.
 CONFUSED = [
@@ -151,7 +154,7 @@ def count_shapes(df: DataFrame, held) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for x in lines_of(text, known.trusted):
+                for x in lines_of(text, known.trusted, rows=False):
                     if x.candidate:
                         (yes if x.vote else no)[x.shape] += 1
                 if len(yes) + len(no) > COUNT_AT_ONCE:
@@ -171,7 +174,7 @@ def learn(df: DataFrame) -> Known:
     tables = {}
     for kind in ("word", "compound"):
         least = max(LEAST_COUNT, int(totals.get(kind, 0) * KNOWN) + 1)
-        got = counts.filter((F.col("kind") == kind) & (F.col("n") >= least) & (F.length("name") <= LONGEST)).select("name", "n").toArrow()
+        got = counts.filter((F.col("kind") == kind) & (F.col("n") >= least)).select("name", "n").toArrow()
         tables[kind] = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
     known = Known(tables["word"], tables["compound"])
     held = spark.sparkContext.broadcast(known)
@@ -179,30 +182,43 @@ def learn(df: DataFrame) -> Known:
     total = shapes.agg(F.sum(F.col("yes") + F.col("no"))).first()[0] or 0
     got = shapes.filter(F.col("yes") + F.col("no") >= max(2, int(total * KNOWN) + 1)).toArrow()
     known.shapes = {s: (y, n) for s, y, n in zip(*(c.to_pylist() for c in got.columns))}
-    # A bounded sample of documents in the order of a hash, for the trees of lines.
-    texts = df.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_LINES // 40).select("text").toArrow().column(0).to_pylist()
-    rows, labels = [], []
-    rng = np.random.default_rng(0)
-    for text in texts:
-        lines = lines_of(text, known.trusted, full=True)
-        x = with_shapes(lines, known.shapes)
-        for k, line in enumerate(lines):
-            if line.sure is not None and len(rows) < SAMPLE_LINES:
-                r = x[k].copy()
-                if rng.random() < 0.7:
-                    r[EVIDENCE] = [0, 0, 1, 0, 0, 0]
-                rows.append(r)
-                labels.append(line.sure)
-    known.lines = Boosted(rounds=40).fit(np.array(rows), np.array(labels)) if rows else Boosted()
+    x, y = line_cases(df, known)
+    known.lines = Boosted(rounds=40).fit(x, y) if len(y) else Boosted()
     return known
 
 
+def line_cases(df: DataFrame, known: Known) -> tuple[np.ndarray, np.ndarray]:
+    """Descriptions and labels of the lines that a rule is sure of, of a bounded sample of documents in a hash's order."""
+    held = df.sparkSession.sparkContext.broadcast((known.trusted, known.shapes))
+    chosen = df.select("key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_LINES // 40).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trusted, shapes = held.value
+        for batch in batches:
+            for order, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lines = [line for line in lines_of(text, trusted, every=True) if line.sure is not None][:SAMPLE_LINES]
+                if lines:
+                    rows = with_shapes(lines, shapes)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([order] * len(lines), pa.int64()), pa.array([x.number for x in lines], pa.int32()), pa.array(rows.tolist(), pa.list_(pa.float64())), pa.array([x.sure for x in lines], pa.int32())], ["at", "line", "row", "label"]
+                    )
+
+    cases = df.join(F.broadcast(chosen), "key", "left_semi").select(F.xxhash64("key").alias("at"), "text").mapInArrow(run, "at bigint, line int, row array<double>, label int")
+    got = cases.orderBy("at", "line").limit(SAMPLE_LINES).select("row", "label").toArrow()
+    x, y = np.array(got.column(0).to_pylist()), np.array(got.column(1).to_pylist())
+    if len(y):
+        # Most are shown without what made them certain, so that the trees learn to do without.
+        blank = np.random.default_rng(0).random(len(y)) < 0.7
+        x[np.ix_(blank, EVIDENCE)] = [0, 0, 1, 0, 0, 0]
+    return x, y
+
+
 #: Suspects of raw tokens seen before, per process; a cache, not a result.
 _seen: dict[str, tuple] = {}
 
 
 def suspects_of(tokens: list[str], known: Known) -> list[tuple[str, bool]]:
-    """(word, misread for sure) of the words of a line that are not vouched for."""
+    """(word, whether a sign stands for a letter in it) of the words of a line that are not vouched for."""
     out = []
     for token in tokens:
         found = _seen.get(token)
@@ -218,7 +234,7 @@ def suspects_of(tokens: list[str], known: Known) -> list[tuple[str, bool]]:
 
 def _suspects(token: str, known: Known) -> Iterator[tuple[str, bool]]:
     w = clean(token)
-    if not w or w in known.trusted or len(w) > LONGEST:
+    if not w or w in known.trusted:
         return
     for p, q in zip(re.split(r"[-‐/]", w), re.split(r"[-‐/]", token.strip(EDGE))):
         p, q = p.strip(EDGE), q.strip(EDGE)
@@ -234,7 +250,11 @@ def _suspects(token: str, known: Known) -> Iterator[tuple[str, bool]]:
 
 
 def line_faults(df: DataFrame, held) -> DataFrame:
-    """(key, lineno, fault, word): furniture and broken lines, surely misread ones, and suspects of content lines."""
+    """(key, lineno, fault, word): furniture and broken lines, and suspects of content lines.
+
+    word: the suspect, whether a sign stands in it for a letter, and of a parted one how long its left part is and the
+    line of its right part.
+    """
     kind = df.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,14 +289,10 @@ def line_faults(df: DataFrame, held) -> DataFrame:
                                 # of that is on the line whose part holds it, see blame().
                                 tokens = x.text.rstrip(MARKS + " ").split()[int(bool(tokens) and tokens[0] != x.text.split()[0]) : -1]
                                 left = d[0].rsplit("-", 1)[-1].strip(EDGE).lower()
-                                for w, sure in suspects_of([d[0] + right], known):
-                                    say(k, x.number, "suspect", f"{w} {len(left)} {at_right}")
-                                    if sure:
-                                        say(k, x.number if SIGN.search(left) or left[-1:] in "@+" else at_right, "misread")
-                        for w, sure in suspects_of(tokens, known):
-                            say(k, x.number, "suspect", w)
-                            if sure:
-                                say(k, x.number, "misread")
+                                for w, sign in suspects_of([d[0] + right], known):
+                                    say(k, x.number, "suspect", f"{w} {int(sign)} {len(left)} {at_right}")
+                        for w, sign in suspects_of(tokens, known):
+                            say(k, x.number, "suspect", f"{w} {int(sign)}")
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(at, pa.int64())), pa.array(number, pa.int32()), pa.array(fault, pa.string()), pa.array(word, pa.string())], ["key", "lineno", "fault", "word"]
                 )
@@ -284,24 +300,55 @@ def line_faults(df: DataFrame, held) -> DataFrame:
     return df.select("key", "text").mapInArrow(run, f"key {kind}, lineno int, fault string, word string")
 
 
-def grams(word):
+def grams(word: str) -> set[str]:
     """Character bigrams of the padded word, without repeats."""
-    padded = F.concat(F.lit("^"), word, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda k: F.substring(padded, k, F.lit(2))))
+    padded = f"^{word}$"
+    return {padded[i : i + 2] for i in range(len(padded) - 1)}
+
+
+def enough(n: int, m: int) -> int:
+    """Shared q-grams that words of n and of m must have; a word damaged by one or two confusions keeps as many."""
+    return max(1, -(-(max(n, m) - SLACK) // 2))
 
 
-def candidates(words: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(word, near): all of the lexicon's words that share enough q-grams with each word, by a join of inverted lists.
+class Ranks:
+    """The q-grams of the lexicon, the rarest first; so each word is listed under few, and these select.
 
-    A word damaged by one or two confusions keeps at least half of its bigrams; with fewer shared there is no candidate.
+    Two words share the needed number of q-grams only if they share one of the first ones of each, in one order of all
+    q-grams; those that the lexicon lacks come first.
     """
-    size = F.size("grams")
-    seen = words.withColumn("grams", grams(F.col("word"))).select("word", size.alias("n"), F.explode("grams").alias("gram"))
-    held = lexicon.withColumn("grams", grams(F.col("name"))).select("name", size.alias("m"), F.explode("grams").alias("gram"))
-    pairs = seen.join(F.broadcast(held), "gram").filter(F.abs(F.col("n") - F.col("m")) <= 3).groupBy("word", "name", "n", "m").agg(F.count("*").alias("shared"))
-    good = pairs.filter(F.col("shared") * 2 + 4 >= F.greatest("n", "m"))
-    ranked = F.sort_array(F.collect_list(F.struct("shared", "name")), asc=False)
-    return good.groupBy("word").agg(ranked["name"].alias("near"))
+
+    def __init__(self, names: list[str]):
+        held = Counter(g for w in names for g in grams(w))
+        self.place = {g: k for k, (g, _) in enumerate(sorted(held.items(), key=lambda x: (x[1], x[0])), 1)}
+        self.longest = max((len(w) for w in names), default=0)
+
+    def first(self, word: str) -> tuple[int, list[str]]:
+        """(number of q-grams, those under which the word is listed)."""
+        mine = sorted(grams(word), key=lambda g: (self.place.get(g, 0), g))
+        return len(mine), mine[: len(mine) - enough(len(mine), len(mine)) + 1]
+
+
+def candidates(words: DataFrame, names: list[str]) -> DataFrame:
+    """(word, near): all of the names that share enough q-grams with each word, by a join of inverted lists.
+
+    names: the lexicon, bounded by its share of all words.  Words that share too few, or differ too much in length, have
+    none and give no row; so words longer than any name by more than that are not looked up.
+    """
+    spark = words.sparkSession
+    ranks = Ranks(names)
+    held = spark.sparkContext.broadcast(ranks)
+    lexicon = spark.createDataFrame([(w, n, g) for w in names for n, listed in [ranks.first(w)] for g in listed], "name string, m int, gram string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(w, n, g) for w in batch.column(0).to_pylist() for n, listed in [held.value.first(w)] for g in listed]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.string())], ["word", "n", "gram"])
+
+    # Repeated bigrams make a long word of few, so its length is bounded by the number of q-grams only from below.
+    seen = words.select("word").mapInArrow(run, "word string, n int, gram string")
+    pairs = seen.join(small(lexicon), "gram").filter(F.abs(F.col("n") - F.col("m")) <= LENGTHS).select("word", "name").distinct()
+    return pairs.groupBy("word").agg(F.sort_array(F.collect_list("name")).alias("near"))
 
 
 def path_of(seen: str, real: str) -> tuple[int, int]:
@@ -341,10 +388,19 @@ def describe(word: str, own: int, near: str, count: int) -> list[float]:
     by_list, other = path_of(word, near)
     return [
         by_list, other, len(word), len(near) - len(word), np.log1p(count), np.log1p(own), np.log1p(count) - np.log1p(own),
-        float(word[0] == near[0]), float(word[-1] == near[-1]), float(not word.isalpha()), (by_list + other) / max(len(word), 1),
+        float(word[0] == near[0]), float(word[-1] == near[-1]), float(not word.isalpha()), (by_list + other) / max(len(word), 1), sum(not c.isalpha() for c in word) / max(len(word), 1),
     ]
 
 
+# The letter that each sign is most often taken for.
+LETTER_OF = str.maketrans({"0": "o", "1": "l", "5": "s", "6": "b", "8": "b", "@": "a", "+": "t", "|": "l", "$": "s"})
+
+
+def lettered(word: str) -> str:
+    """The word with letters where signs stand between letters."""
+    return SIGN.sub(lambda m: m[0].translate(LETTER_OF), word)
+
+
 def fit_ranking(words: dict[str, int], trusted: frozenset[str]) -> Boosted:
     """Trees that tell a damaged word's original from a word's mere neighbour."""
     rng = np.random.default_rng(0)
@@ -379,17 +435,28 @@ def fit_ranking(words: dict[str, int], trusted: frozenset[str]) -> Boosted:
             if name not in words and path_of(name, w)[1] > 0:
                 rows.append(describe(name, 1, w, words[w]))
                 labels.append(0)
+            # The name with a sign for one of its inner letters, and a code: letters, digits, letters.
+            at = int(rng.integers(1, len(name) - 1))
+            sign = [s for s, r in CONFUSED if r == name[at] and not s[0].isalpha()]
+            if sign:
+                seen = name[:at] + sign[int(rng.integers(len(sign)))] + name[at + 1 :]
+                rows.append(describe(seen, 1, lettered(seen), 0))
+                labels.append(1)
+            code = "".join("bcdfgxz"[int(rng.integers(7))] for _ in range(3)) + "".join("01568"[int(rng.integers(5))] for _ in range(int(rng.integers(2, 4)))) + "xk"[int(rng.integers(2))]
+            rows.append(describe(code, 1, lettered(code), 0))
+            labels.append(0)
     return Boosted(rounds=60).fit(np.array(rows), np.array(labels)) if rows else Boosted()
 
 
 def corrections(suspects: DataFrame, known: Known) -> DataFrame:
-    """(word, replacement, score): suspects whose best candidate is likely; suspects: word, n, distinct."""
+    """(word, replacement, score): suspects whose best candidate is likely; suspects: word, n, sign, distinct."""
     spark = suspects.sparkSession
-    lexicon = spark.createDataFrame([(w,) for w in sorted(known.trusted) if len(w) >= 2], "name string")
+    names = [w for w in sorted(known.trusted) if len(w) >= 2]
     held = spark.sparkContext.broadcast(({w: known.words[w] for w in known.trusted}, fit_ranking(known.words, known.trusted)))
     # A suspect is a few bytes but meets many candidates, so they are spread by number and not by size.
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = candidates(suspects.select("word").repartition(width, "word"), lexicon).join(suspects, "word")
+    reach = suspects.filter(F.length("word") <= max(map(len, names), default=0) + LENGTHS)
+    met = suspects.join(candidates(reach.select("word").repartition(width, "word"), names), "word", "left").filter(F.col("near").isNotNull() | F.col("sign"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, model = held.value
@@ -397,13 +464,24 @@ def corrections(suspects: DataFrame, known: Known) -> DataFrame:
             for begin in range(0, whole.num_rows, 200):
                 batch = whole.slice(begin, 200)
                 rows, which = [], []
-                for word, near, n in zip(*(c.to_pylist() for c in batch.columns)):
+                for word, near, n, sign in zip(*(c.to_pylist() for c in batch.columns)):
+                    mine = grams(word)
                     # All near ones are described; of equals the fewest edits and then the most frequent comes first.
-                    close = ((edits(word, v, 3), -counts[v], v) for v in near if abs(len(v) - len(word)) <= 2 and counts[v] >= 2 * n)
+                    close = []
+                    for v in near or ():
+                        if abs(len(v) - len(word)) <= 2 and counts[v] >= 2 * n:
+                            theirs = grams(v)
+                            if len(mine & theirs) >= enough(len(mine), len(theirs)):
+                                close.append((edits(word, v, 3), -counts[v], v))
                     for far, _, v in sorted(close):
                         if far <= 3:
                             rows.append(describe(word, n, v, counts[v]))
                             which.append((word, v))
+                    if sign:
+                        v = lettered(word)
+                        if v not in counts:
+                            rows.append(describe(word, 1, v, 0))
+                            which.append((word, v))
                 score = model.probability(np.array(rows)) if rows else np.zeros(0)
                 best: dict[str, tuple[float, str]] = {}
                 for (word, v), p in zip(which, score.tolist()):
@@ -411,7 +489,7 @@ def corrections(suspects: DataFrame, known: Known) -> DataFrame:
                         best[word] = (p, v)
                 yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.string()), pa.array([v for _, v in best.values()], pa.string()), pa.array([p for p, _ in best.values()], pa.float64())], ["word", "replacement", "score"])
 
-    return met.select("word", "near", "n").mapInArrow(run, "word string, replacement string, score double")
+    return met.select("word", "near", "n", "sign").mapInArrow(run, "word string, replacement string, score double")
 
 
 def blame():
@@ -430,9 +508,10 @@ def scan_faults(df: DataFrame, known: Known | None = None) -> tuple[DataFrame, D
     held = texts.sparkSession.sparkContext.broadcast(known)
     seen = cut(line_faults(texts, held))
     open_ = seen.filter(F.col("fault") == "suspect").withColumn("bits", F.split("word", " "))
-    open_ = open_.select("key", "lineno", F.col("bits")[0].alias("word"), F.try_element_at("bits", F.lit(2)).cast("int").alias("left"), F.try_element_at("bits", F.lit(3)).cast("int").alias("nextline"))
+    bit = lambda k: F.try_element_at("bits", F.lit(k)).cast("int")
+    open_ = open_.select("key", "lineno", F.col("bits")[0].alias("word"), (bit(2) == 1).alias("sign"), bit(3).alias("left"), bit(4).alias("nextline"))
     rows = open_.count()
-    fixes = cut(corrections(cut(open_.groupBy("word").agg(F.count("*").alias("n"))), known))
+    fixes = cut(corrections(cut(open_.groupBy("word").agg(F.count("*").alias("n"), F.max("sign").alias("sign"))), known))
     wrong = lookup(open_, fixes.select("word", "replacement"), ["word"], rows).filter(F.col("replacement").isNotNull())
     wrong = wrong.select("key", blame().alias("lineno"), "word", "replacement")
     sure = seen.filter(F.col("fault") != "suspect").select("key", "lineno", "fault")

@@ -96,14 +96,13 @@ def test_confusions():
 
 def test_candidates_hold_the_original(spark):
     words = spark.createDataFrame([("durinq",), ("zzzzzz",)], "word string")
-    lexicon = spark.createDataFrame([("during",), ("storage",)], "name string")
-    assert {r["word"]: r["near"] for r in candidates(words, lexicon).collect()} == {"durinq": ["during"]}
+    assert {r["word"]: r["near"] for r in candidates(words, ["during", "storage"]).collect()} == {"durinq": ["during"]}
 
 
 def test_every_near_word_is_a_candidate(spark):
     near = ["tnat", "tnatea"] + [f"tnate{c}" for c in "bcdefghijklmnopqrstuvwxyz"]
-    words, lexicon = spark.createDataFrame([("tnate",)], "word string"), spark.createDataFrame([(w,) for w in [*near, "mate"]], "name string")
-    assert set(candidates(words, lexicon).first()["near"]) == {*near, "mate"}
+    words = spark.createDataFrame([("tnate",)], "word string")
+    assert set(candidates(words, [*near, "mate"]).first()["near"]) >= {*near, "mate"}
 
 
 def test_one_confusion_away_is_a_candidate(spark):
@@ -113,19 +112,45 @@ def test_one_confusion_away_is_a_candidate(spark):
             a, b = ("".join(rng.choices("abcdefgh", k=k)) for k in (n, rng.randint(1, 3)))
             pairs.add((a + seen + b, a + real + b))
     words = spark.createDataFrame([(w,) for w in sorted({s for s, _ in pairs})], "word string")
-    lexicon = spark.createDataFrame([(w,) for w in sorted({r for _, r in pairs})], "name string")
-    got = {r["word"]: set(r["near"]) for r in candidates(words, lexicon).collect()}
+    got = {r["word"]: set(r["near"]) for r in candidates(words, sorted({r for _, r in pairs})).collect()}
     assert [(s, r) for s, r in sorted(pairs) if r not in got.get(s, ())] == []
 
 
 def test_two_characters_for_one_meet_the_trees_among_nearer_words(spark, monkeypatch):
-    rows = [[a, b, *[float(x) for x in np.random.default_rng(k).random(9)]] for k in range(20) for a in range(3) for b in range(4)]
+    rows = [[a, b, *[float(x) for x in np.random.default_rng(k).random(10)]] for k in range(20) for a in range(3) for b in range(4)]
     monkeypatch.setattr(S, "fit_ranking", lambda *_: Boosted().fit(np.array(rows), np.array([int(r[0] == 1 and r[1] == 0) for r in rows])))
     words = {"mate": 100, "tate": 100, "nate": 100, "inate": 100, "tnat": 100, "tnates": 100}
-    found = S.corrections(spark.createDataFrame([("tnate", 1)], "word string, n bigint"), SimpleNamespace(words=words, trusted=frozenset(words)))
+    found = S.corrections(spark.createDataFrame([("tnate", 1, False)], "word string, n bigint, sign boolean"), SimpleNamespace(words=words, trusted=frozenset(words)))
     assert [(r["word"], r["replacement"]) for r in found.collect()] == [("tnate", "mate")]
 
 
+def test_candidates_are_those_of_a_full_comparison(spark):
+    rng = random.Random(11)
+    names = sorted({"".join(rng.choices("abcdeinrstu", weights=[5, 1, 2, 2, 9, 6, 6, 5, 5, 5, 2], k=rng.randint(2, 12))) for _ in range(300)})
+    seen = sorted({"".join(c if rng.random() > 0.15 else rng.choice("abcde1") for c in rng.choice(names)) for _ in range(80)} | {"x" * 300, "q", "e" * 60})
+    got = {r["word"]: set(r["near"]) for r in candidates(spark.createDataFrame([(w,) for w in seen], "word string"), names).collect()}
+    for w in seen:
+        a = S.grams(w)
+        want = {v for v in names for b in [S.grams(v)] if abs(len(a) - len(b)) <= S.LENGTHS and len(a & b) >= S.enough(len(a), len(b))}
+        assert want <= got.get(w, set()), (w, want - got.get(w, set()))
+
+
+def test_invented_names_with_a_sign_are_read_with_letters(spark):
+    words = {w: 50 for w in "material storage moisture declaration certificate supplier temperature analysis document reference approval container".split()}
+    known = SimpleNamespace(words=words, trusted=frozenset(words))
+    rows = [("quilm0vigel", 1, True), ("mater1al", 1, True), ("zorvexil", 1, False), ("suppl1er", 2, True)]
+    found = {r["word"]: r["replacement"] for r in S.corrections(spark.createDataFrame(rows, "word string, n bigint, sign boolean"), known).collect()}
+    assert found["quilm0vigel"] == "quilmovigel" and found["mater1al"] == "material" and found["suppl1er"] == "supplier" and "zorvexil" not in found
+
+
+def test_runs_of_plain_lines():
+    from paperloom.llm.pages import Line, plain_runs
+
+    line = lambda text, gap=False: Line(1, text, text, gap=gap)
+    lines = [line("A"), line("B"), line("this is some prose here"), line("C", gap=True), line("D"), line("E."), line("F")]
+    assert plain_runs(lines) == [2, 2, 0, 1, 1, 0, 1] and plain_runs([]) == []
+
+
 def test_boosting_learns_a_rule():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 4))

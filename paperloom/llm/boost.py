@@ -58,13 +58,25 @@ class Boosted:
         return self
 
     def probability(self, x: np.ndarray) -> np.ndarray:
+        """All trees are walked at once: a table of trees and rows goes down level by level."""
         x = np.asarray(x, np.float64)
-        f = np.full(len(x), self.base)
-        for feature, cut, value in self.trees:
-            node = np.zeros(len(x), np.int64)
+        n, count = len(x), len(self.trees)
+        f = np.full(n, self.base)
+        if not count or not n:
+            return 1 / (1 + np.exp(-f))
+        feature, cut, value = (np.concatenate([t[k] for t in self.trees]) for k in range(3))
+        # A node that was not divided sends all to the left.
+        cut = np.where(feature < 0, np.inf, cut)
+        feature = np.maximum(feature, 0)
+        inner = 2**self.depth - 1
+        for begin in range(0, n, 4096):
+            flat = x[begin : begin + 4096].ravel()
+            at = np.arange(len(flat) // x.shape[1]) * x.shape[1]
+            first = (np.arange(count) * inner)[:, None]
+            node = np.zeros((count, len(at)), np.int64)
             for _ in range(self.depth):
-                k = feature[node]
-                right = (k >= 0) & (x[np.arange(len(x)), np.maximum(k, 0)] > cut[node])
-                node = 2 * node + 1 + right
-            f += value[node - (2**self.depth - 1)]
+                here = node + first
+                node = 2 * node + 1 + (flat[at + feature[here]] > cut[here])
+            leaf = node - inner + (np.arange(count) * (inner + 1))[:, None]
+            f[begin : begin + 4096] += value[leaf].sum(axis=0)
         return 1 / (1 + np.exp(-f))

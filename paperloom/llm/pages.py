@@ -64,6 +64,7 @@ class Line:
     #: Recurs like a running line; may be one at all.
     vote: bool = False
     candidate: bool = False
+    edge: bool = False
     low: bool = False
     _prose: bool | None = None
     like_title: bool = False
@@ -121,9 +122,23 @@ def _alike(a: str, b: str) -> bool:
     return len(a) >= 8 and abs(len(a) - len(b)) <= 2 and (a[:4] == b[:4] or a[-4:] == b[-4:]) and edits(a, b, 2) <= 2
 
 
+def caps_of(text: str) -> float:
+    words = text.split()
+    return sum([w[0].isupper() for w in words]) / len(words)
+
+
+def edge_of(x: Line, before: Line | None, after: Line | None) -> bool:
+    """Whether the line is where a page can end: at a gap, a page number, an end of the text, or beside another line that
+    recurs, as a header stands below a footer.
+    """
+    if x.gap or before is None or after is None or before.gap or before.page or before.bare or after.page or after.bare:
+        return True
+    return x.candidate and (before.repeats >= 2 and before.candidate and not before.prose or after.repeats >= 2 and after.candidate and not after.prose)
+
+
 def lines_of(text: str, known, rows: bool = True, every: bool = False) -> list[Line]:
     """The lines that are not blank; those that can be furniture described, and labelled where a rule is sure.  every:
-    all others too, as content.
+    all others too, as content.  Without rows only looks and votes are told.
 
     Most lines of a text begin in lower case or end a sentence and can be no running lines; they are not looked at.
     """
@@ -176,6 +191,13 @@ def lines_of(text: str, known, rows: bool = True, every: bool = False) -> list[L
     for x in running:
         x.repeats = near[x.key]
         x.shape = shape_of(x.key, known)
+    for i, x in enumerate(out):
+        if x.candidate:
+            before, after = out[i - 1] if i else None, out[i + 1] if i + 1 < len(out) else None
+            x.edge = edge_of(x, before, after)
+            x.vote = x.repeats >= 2 and (x.edge or caps_of(x.text) >= 0.6)
+    if not rows:
+        return out
     # The title: the last line before the first prose that is no page number.
     top: list[Line] = []
     for x in out:
@@ -203,13 +225,9 @@ def lines_of(text: str, known, rows: bool = True, every: bool = False) -> list[L
         before, after = out[i - 1] if i else None, out[i + 1] if i + 1 < len(out) else None
         open_before = before is not None and before.text[-1] not in ".:;!?" and before.prose
         x.like_title = x.candidate and not x.title and bool(head) and (x.key == head or x.key.startswith(head + " ") or _alike(head, x.key))
-        words = s.split()
-        caps = sum(w[0].isupper() for w in words) / len(words)
+        caps = caps_of(s)
         after_colon = before is not None and before.text[-1] == ":"
-        edge = x.gap or i == 0 or after is None or before.gap or before.page or before.bare or after.page or after.bare
-        # Beside another line that recurs, as a header stands below a footer.
-        edge = edge or x.candidate and any(y is not None and y.candidate and y.repeats >= 2 and not y.prose for y in (before, after))
-        x.vote = x.candidate and x.repeats >= 2 and (edge or caps >= 0.6)
+        edge = x.edge if x.candidate else edge_of(x, before, after)
         if x.page and not after_colon:
             x.sure = 1
         elif x.bare:
@@ -228,15 +246,14 @@ def lines_of(text: str, known, rows: bool = True, every: bool = False) -> list[L
             x.sure = 0
         elif x.prose and not edge and x.repeats == 1 and len(s) > 0.7 * width:
             x.sure = 0
-        if rows:
-            spoken = WORD.findall(s.lower())
-            x.row = [
-                float(x.page), float(x.bare), float(x.fragment), min(x.repeats, 6), float(x.like_title), float(x.title), float(open_before), float(after is not None and after.low),
-                float(x.gap), float(before is not None and before.gap or i == 0), float(i == 0), float(after is None), len(s) / max(width, 1),
-                float(s[-1] in ".;"), float(s[-1] == ":"), float(after_colon), caps, float(x.prose),
-                sum(w in known for w in spoken) / max(len(spoken), 1), float(i in in_order), float(before is not None and (before.page or before.bare)), float(after is not None and (after.page or after.bare)),
-                sum(c.isdigit() for c in s) / len(s), (x.number - 1) / count, 0.0, 0.0,
-            ]
+        spoken = WORD.findall(s.lower())
+        x.row = [
+            float(x.page), float(x.bare), float(x.fragment), min(x.repeats, 6), float(x.like_title), float(x.title), float(open_before), float(after is not None and after.low),
+            float(x.gap), float(before is not None and before.gap or i == 0), float(i == 0), float(after is None), len(s) / max(width, 1),
+            float(s[-1] in ".;"), float(s[-1] == ":"), float(after_colon), caps, float(x.prose),
+            sum(w in known for w in spoken) / max(len(spoken), 1), float(i in in_order), float(before is not None and (before.page or before.bare)), float(after is not None and (after.page or after.bare)),
+            sum(map(str.isdigit, s)) / len(s), (x.number - 1) / count, 0.0, 0.0,
+        ]
     return out
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.skew import small
 from paperloom.sources.tables import cut
 
 
@@ -12,7 +13,8 @@ def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str,
     """``out``: the sum of ``value`` up to and with each row, in the order, per group.
 
     Rows are range-partitioned by group and order and kept (a range partitioning is sampled, so it is never computed
-    twice); each partition adds the sums of the partitions before it: partitions x groups numbers, no group in one task.
+    twice); each partition adds the sums of the partitions before it, one number for each partition and group that meet
+    there; these are broadcast if they are few.  No group is in one task.
     """
     ranged = cut(df.repartitionByRange(*groups, *order).withColumn("_part", F.spark_partition_id()))
     sums = ranged.groupBy("_part", *groups).agg(F.sum(value).alias("_sum"))
@@ -20,7 +22,7 @@ def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str,
     offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     inside = Window.partitionBy("_part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranged.withColumn(out, F.sum(value).over(inside))
-    return summed.join(F.broadcast(offsets), ["_part", *groups]).withColumn(out, F.col(out) + F.col("_offset")).drop("_part", "_offset")
+    return summed.join(small(offsets), ["_part", *groups]).withColumn(out, F.col(out) + F.col("_offset")).drop("_part", "_offset")
 
 
 def row_numbers(df: DataFrame, order: list[str], out: str) -> DataFrame:

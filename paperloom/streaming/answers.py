@@ -1,4 +1,4 @@
-"""Answers that arrive as files over time, merged into a table round by round."""
+"""Answers that arrive as files over time, kept as they come and merged when they are read."""
 
 from __future__ import annotations
 
@@ -14,24 +14,27 @@ def answer_stream(spark: SparkSession, folder: str, files_at_once: int = 1000) -
     return spark.readStream.schema(ANSWER).option("maxFilesPerTrigger", files_at_once).json(folder)
 
 
-def merge(table: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """The first answer of each reading and round stays; later ones of the same round are dropped.  Idempotent."""
-    fresh = batch.withColumn("_new", F.lit(1)).dropDuplicates()
-    every = fresh if table is None else table.withColumn("_new", F.lit(0)).unionByName(fresh)
-    k = F.row_number().over(Window.partitionBy("readingId", "round").orderBy("_new", "quote", "evidence"))
-    return every.withColumn("_k", k).filter("_k = 1").drop("_k", "_new")
+def merge(arrived: DataFrame) -> DataFrame:
+    """The first answer of each reading and round, by batch; answers of one batch by their text.
+
+    arrived: the fields of an answer and ``batch``.  Answers without a reading or a round are kept as one each.
+    """
+    k = F.row_number().over(Window.partitionBy("readingId", "round").orderBy("batch", "quote", "evidence", "documentTemplateId", "proposedTemplate"))
+    return arrived.withColumn("_k", k).filter("_k = 1").drop("_k", "batch")
 
 
 def collect_stream(spark: SparkSession, folder: str, target: str, checkpoint: str):
-    """Starts the merge of new answers into parquet at ``target``: a version is written beside the last and named."""
-
-    def upsert(batch: DataFrame, number: int) -> None:
-        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        root = fs_path(target)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        done = sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v")) if fs.exists(root) else []
-        done = [n for n in done if n < number and fs.exists(fs_path(f"{target}/v{n}/_SUCCESS"))]
-        last = spark.read.parquet(f"{target}/v{done[-1]}") if done else None
-        merge(last, batch).write.mode("overwrite").parquet(f"{target}/v{number}")
-
-    return answer_stream(spark, folder).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Starts to add new answers to parquet at ``target``, a folder for each batch.
+
+    A batch is written once, whatever is there already, and a batch that is repeated after a failure replaces itself.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.dropDuplicates().write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return answer_stream(spark, folder).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def answers_so_far(spark: SparkSession, target: str) -> DataFrame:
+    """The answers that count of all that have arrived."""
+    return merge(spark.read.schema(f"{ANSWER}, batch bigint").parquet(target))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import casefold, strip
 from paperloom.operators.skew import lookup
+from paperloom.sources.tables import cut
 
 
 @dataclass(frozen=True)
@@ -98,13 +99,14 @@ def resolve(found: DataFrame, items: DataFrame, rows: int | None = None) -> Data
     ``unmatched``.  how: ``exact`` or ``case-blind`` where an item is reached.
 
     rows: how many files there are, counted if not given; from that it follows which items have so many files that these
-    are not brought to one task.
+    are not brought to one task.  Identified files are kept, and so is what the first look-up gives, as each look-up
+    reads its side several times.
     """
+    found = cut(found.withColumn("_folded", casefold(F.col("identifier"))))
     rows = found.count() if rows is None else rows
     exact = item_index(items, F.col("identifier"), "exact").withColumnRenamed("_key", "identifier")
     loose = item_index(items, casefold(F.col("identifier")), "loose").withColumnRenamed("_key", "_folded")
-    joined = lookup(found.withColumn("_folded", casefold(F.col("identifier"))), exact, ["itemtable", "identifier"], rows)
-    joined = lookup(joined, loose, ["itemtable", "_folded"], rows)
+    joined = lookup(cut(lookup(found, exact, ["itemtable", "identifier"], rows)), loose, ["itemtable", "_folded"], rows)
     n, item = F.coalesce("exact_n", "loose_n"), F.coalesce("exact_item", "loose_item")
     why = F.coalesce("why", F.when(n.isNull(), "unmatched").when(n > 1, "ambiguous").when(item["archived"], "archived"))
     out = joined.withColumn("why", why)

@@ -217,29 +217,29 @@ def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = An
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
-            for (t, _), group in pdf.groupby(["itemtable", "_block"], sort=False):
-                listed = list(group["_names"].iloc[0])
-                chars = {c: k for k, c in enumerate(sorted({c for x in listed for c in x}))}
-                counts = _letters(listed, chars)
-                for value in group["identifier"]:
-                    out += [(t, value, x, s) for s, x in _best(value, listed, counts, chars, _ratio, options.nearest, options.near_miss)]
+            for t, wanted_, listed in zip(pdf["itemtable"], pdf["_wanted"], pdf["_names"]):
+                names = list(listed)
+                chars = {c: k for k, c in enumerate(sorted({c for x in names for c in x}))}
+                counts = _letters(names, chars)
+                for value in wanted_:
+                    out += [(t, value, x, s) for s, x in _best(value, names, counts, chars, _ratio, options.nearest, options.near_miss)]
             yield pd.DataFrame(out, columns=["itemtable", "identifier", "near", "ratio"])
 
-    # Equal lengths stand together, so a block has few lengths and most blocks are out of an identifier's reach.
-    sized = index.join(F.broadcast(last.select("itemtable").distinct()), "itemtable", "left_semi").groupBy("itemtable", F.length("near").alias("_n"), F.pmod(F.xxhash64("near"), F.lit(_blocks(index))).alias("_block")).agg(F.sort_array(F.collect_list("near")).alias("_names"))
-    reach = (F.col("_n") * (2 - options.near_miss) >= n * options.near_miss) & (n * (2 - options.near_miss) >= F.col("_n") * options.near_miss)
-    full = last.join(sized.withColumn("_block", F.concat_ws("-", "_n", "_block")), "itemtable").filter(reach).select("itemtable", "identifier", "_block", "_names")
+    # Both sides in blocks of one length each, so most blocks are out of each other's reach and none is sent for one value.
+    def blocked(df: DataFrame, value: str, size: str, block: int, out: str) -> DataFrame:
+        sized = df.select("itemtable", value, F.length(value).alias(size))
+        most = sized.groupBy("itemtable", size).count().agg(F.max("count")).first()[0] or 1
+        return sized.groupBy("itemtable", size, F.pmod(F.xxhash64(value), F.lit(-(-most // block))).alias("_block")).agg(F.sort_array(F.collect_list(value)).alias(out)).drop("_block")
+
+    names = blocked(index.join(F.broadcast(last.select("itemtable").distinct()), "itemtable", "left_semi"), "near", "_m", NAME_BLOCK, "_names")
+    reach = (F.col("_m") * (2 - options.near_miss) >= F.col("_n") * options.near_miss) & (F.col("_n") * (2 - options.near_miss) >= F.col("_m") * options.near_miss)
+    full = blocked(last, "identifier", "_n", NAME_BLOCK // 20, "_wanted").join(names, "itemtable").filter(reach).select("itemtable", "_wanted", "_names")
+    full = full.repartition(int(full.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = once.unionByName(twice).unionByName(full.mapInPandas(compared, "itemtable string, identifier string, near string, ratio double")).distinct()
     k = F.row_number().over(Window.partitionBy("itemtable", "identifier").orderBy(F.desc("ratio"), "near"))
     return found.withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
-def _blocks(index: DataFrame) -> int:
-    """How many blocks the largest list of one table and length is cut into."""
-    most = index.groupBy("itemtable", F.length("near")).count().agg(F.max("count")).first()[0] or 1
-    return -(-most // NAME_BLOCK)
-
-
 def proposed_names(answers: DataFrame) -> DataFrame:
     """Proposals by their case- and punctuation-blind form: how many, and the first spelling."""
     p = answers.filter(F.trim(F.coalesce("proposedtemplate", F.lit(""))) != "").withColumn("k", folded_hard(F.col("proposedtemplate")))

@@ -80,10 +80,9 @@ def joined_token_parts(spark: SparkSession, folder: str) -> DataFrame:
     return O.split_joined(O.words_of(texts(spark, folder)).select("word").distinct(), OPTIONS)
 
 
-def signed_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    once = texts(spark, folder)
-    words = O.with_parts(O.words_of(once), OPTIONS)
-    return cut(O.signatures(once, words, once.count(), OPTIONS)), words
+def signed_texts(spark: SparkSession, folder: str) -> DataFrame:
+    sets = O.word_sets(texts(spark, folder), OPTIONS)
+    return cut(O.set_signatures(sets, sets.count(), OPTIONS))
 
 
 # The sequential walk: documents by size of signature, then sha; the state is the list of seeds so far.
@@ -107,7 +106,7 @@ numbers AS (SELECT z.seed, row_number() OVER (ORDER BY n DESC, len(s.sig) DESC,
 SELECT p.sha, CASE WHEN k < 10 THEN 'f0' || k ELSE 'f' || k END AS form, p.fit FROM placed p JOIN numbers USING (seed)""")
 def forms_leader_clustering(spark: SparkSession, folder: str) -> DataFrame:
     """The form of each text."""
-    signed, _ = signed_texts(spark, folder)
+    signed = signed_texts(spark, folder)
     found = O.leader_clusters(signed, OPTIONS)
     return cut(found).join(O.number_forms(found, signed), "seed").select("sha", F.col("short").alias("form"), "fit")
 
@@ -121,7 +120,7 @@ def form_sweep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_classes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return L.signature_classes(signed_texts(spark, folder)[0])
+    return L.signature_classes(signed_texts(spark, folder))
 
 
 SIGNED_SQL = WALK_SQL[: WALK_SQL.index("ranked AS")].replace("{cells}", ONE_CELL).rstrip().rstrip(",") + ", cls AS (SELECT min(sha) AS class, sig FROM signed WHERE len(sig) > 0 GROUP BY sig)"

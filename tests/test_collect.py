@@ -138,6 +138,29 @@ def test_edges_are_those_of_a_full_comparison(spark):
     assert L.as_fraction(0.55) == Fraction(11, 20)
 
 
+def test_edges_of_few_words_are_held_against_each_other_and_not_listed(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"W{k:02d}" for k in range(40)]
+    signed = {f"s{i:03d}": sorted(rng.sample(words, rng.randint(12, 30))) for i in range(150)}
+    classes = spark.createDataFrame([(s, v) for s, v in signed.items()], "class string, signature array<string>")
+    t = Fraction(11, 20)
+    both = lambda a, b: (len(set(signed[a]) & set(signed[b])), len(set(signed[a]) | set(signed[b])))
+    want = {(a, b, *both(a, b)) for a in signed for b in signed if a < b and both(a, b)[0] >= t * both(a, b)[1]}
+    assert len(want) > 50
+    monkeypatch.setattr(L, "BIT_WORDS", 0)
+    assert {tuple(r) for r in L.similarity_edges(classes, t).collect()} == want
+    # Words that all have select nothing: lists of them may not be joined.
+    monkeypatch.setattr(L, "BIT_WORDS", 20_000)
+    for sent, rows in ((65_536, 2048), (1, 16)):
+        monkeypatch.setattr(L, "SENT", sent)
+        monkeypatch.setattr(L.B, "ROWS", rows)
+        edges = L.similarity_edges(classes, t)
+        assert {tuple(r) for r in edges.collect()} == want
+        plan = edges._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    assert L.similarity_edges(classes.limit(0), t).count() == 0
+
+
 def test_joined_words_in_forms(spark):
     rows = [("a", "s1", "SAFETYDATASHEET"), ("a", "s2", "SAFETY"), ("a", "s2", "DATA"), ("a", "s2", "SHEET"), ("b", "s3", "SAFETYDATASHEET"), ("b", "s4", "SAFETY")]
     members = spark.createDataFrame([(f, s) for f, s, _ in rows], "form string, sha string").distinct()

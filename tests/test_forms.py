@@ -43,6 +43,16 @@ def test_leader_clusters_are_the_walk(spark):
         check(spark, signed, threshold, at_once)
 
 
+def test_word_sets_give_the_same_signatures(spark):
+    texts = spark.createDataFrame([("a", "SafetyDataSheet SAFETYDATASHEET one"), ("b", "safety data sheet"), ("c", ""), ("d", "Safety one two"), (None, "safety one")], "sha string, text string")
+    words = O.with_parts(O.words_of(texts))
+    sets = O.word_sets(texts)
+    for floor in (0.025, 0.5, 0.9):
+        options = FormOptions(floor_fraction=floor)
+        want = {r[0]: r[1] for r in O.signatures(texts, words, 5, options).collect()}
+        assert {r[0]: r[1] for r in O.set_signatures(sets, 5, options).collect()} == want
+
+
 def test_no_documents(spark):
     df = spark.createDataFrame([], "sha string, signature array<string>")
     assert O.leader_clusters(df).count() == 0

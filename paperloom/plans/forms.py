@@ -115,8 +115,8 @@ def forms_leader_clustering(spark: SparkSession, folder: str) -> DataFrame:
 med AS (SELECT floor, list_sort(list(len(sig)))[len(list(sig)) // 2 + 1] AS median_words FROM signed GROUP BY floor)
 SELECT z.floor, threshold, count(*)::BIGINT AS forms, max(n)::BIGINT AS largest, (count(*) FILTER (n = 1))::BIGINT AS single, any_value(median_words)::INT AS median_words FROM z JOIN med ON med.floor = z.floor GROUP BY z.floor, threshold""")
 def form_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    once = cut(texts(spark, folder))
-    return O.sweep(cut(O.with_parts(O.words_of(once), OPTIONS)), once, once.count(), SWEEP_FLOORS, SWEEP_THRESHOLDS)
+    sets = O.word_sets(texts(spark, folder), OPTIONS)
+    return O.sweep(sets, sets.count(), SWEEP_FLOORS, SWEEP_THRESHOLDS)
 
 
 def as_classes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

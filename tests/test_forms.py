@@ -54,6 +54,22 @@ def test_each_document_is_met_once_and_not_rewritten(spark, monkeypatch):
     assert len({s for s, _ in walk(signed, 0.55).values()}) > 60 and len(kept) <= 4
 
 
+def test_the_sweep_keeps_no_row_for_a_word(spark, monkeypatch):
+    texts = {f"s{i:02d}": ["ONE", "TWO", "RED"][: i % 4] for i in range(12)}
+    sizes, kept = [], O.cut
+
+    def counted(df):
+        sizes.append(kept(df).count())
+        return kept(df)
+
+    monkeypatch.setattr(O, "cut", counted)
+    monkeypatch.setattr(O.B, "cut", counted)
+    sets = O.word_sets(spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "sha string, text string"))
+    got = [tuple(r) for r in O.sweep(sets, len(texts), (0.5, 1.0), (0.9,)).collect()]
+    # Two words are in half of the texts: six have both, three one, three none; no word is in all.
+    assert got == [(0.5, 0.9, 5, 6, 3, 2), (1.0, 0.9, 12, 1, 12, 0)] and max(sizes) <= len(texts)
+
+
 def test_word_sets_give_the_same_signatures(spark):
     texts = spark.createDataFrame([("a", "SafetyDataSheet SAFETYDATASHEET one"), ("b", "safety data sheet"), ("c", ""), ("d", "Safety one two"), (None, "safety one")], "sha string, text string")
     words = O.with_parts(O.words_of(texts))

@@ -111,7 +111,7 @@ def _best(value: str, names: list[str], counts: np.ndarray, index: dict[str, int
     """The ``most`` best names over ``least`` by score, ties by name, without scoring those that cannot be among them.
 
     Matched characters are never more than those both have, so names are scored by falling bound until none is left
-    that could still come in.
+    that could still come in.  ``names`` ascend, so of those with one bound the later can only lose ties.
     """
     size = counts.sum(axis=1)
     mine = _letters([value], index)[0]
@@ -119,7 +119,7 @@ def _best(value: str, names: list[str], counts: np.ndarray, index: dict[str, int
     bound = 2.0 * np.minimum(counts, mine).sum(axis=1) / np.maximum(size + len(value), 1)
     best: list[tuple[float, str]] = []
     for k in np.argsort(-bound, kind="stable").tolist():
-        if bound[k] < least - 1e-12 or (len(best) == most and bound[k] < -best[-1][0] - 1e-12):
+        if bound[k] < least - 1e-12 or (len(best) == most and (-bound[k], names[k]) > best[-1]):
             break
         got = score(value, names[k])
         if got >= least:
@@ -158,19 +158,24 @@ def nearest_names(titles: DataFrame, names: DataFrame, options: AnswerOptions =
     return best.withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
-def _without(c: Column, places: int) -> Column:
-    """The text and all that is left of it when up to so many (1 or 2) characters are taken out."""
+def _without(c: Column, places: Column) -> Column:
+    """All that is left of the text when just so many (0, 1 or 2) of its more characters are taken out."""
     n = F.length(c)
-    out = lambda text, k: F.concat(F.substring(text, F.lit(1), k - 1), F.substring(text, k + 1, F.length(text)))
-    once = F.transform(F.sequence(F.lit(1), n), lambda k: out(c, k))
-    if places == 1:
-        return F.array_distinct(F.concat(F.array(c), once))
-    twice = F.flatten(F.transform(once, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda k: out(t, k))))
-    return F.array_distinct(F.concat(F.array(c), once, twice))
+    part = lambda start, stop: F.substring(c, start, F.greatest(stop - start, F.lit(0)))
+    once = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(part(F.lit(1), i), part(i + 1, n + 1)))
+    twice = lambda i: F.transform(F.sequence(i + 1, n), lambda j: F.concat(part(F.lit(1), i), part(i + 1, j), part(j + 1, n + 1)))
+    return F.when(places == 0, F.array(c)).when(places == 1, F.array_distinct(once)).otherwise(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n - 1), twice))))
 
 
-def _ratio(value: str, name: str) -> float:
-    return difflib.SequenceMatcher(None, name, value).ratio()
+def _ratio_to(value: str) -> Callable[[str, str], float]:
+    """The ratio of names to one value, which is taken apart once."""
+    matcher = difflib.SequenceMatcher(None, "", value)
+
+    def ratio(_: str, name: str) -> float:
+        matcher.set_seq1(name)
+        return matcher.ratio()
+
+    return ratio
 
 
 def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = AnswerOptions(), longest: int = 40) -> DataFrame:
@@ -178,41 +183,65 @@ def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = An
 
     Identifiers of one table look alike (``RM-00000123``), so parts of them select nothing.  Two that differ by few
     characters are equal once these are taken out of both: they meet in a join on what is left with one character out,
-    then with two out.  What differs by more has a ratio of at most 2n / (2n + 2), or 2n / (2n + 3), for an identifier of
-    n characters; an identifier is decided once so many have been found that are at least as near as that.  Those that
-    stay undecided, and those over ``longest`` characters, are held against all of their table in blocks, by falling
-    bound of the characters both have.  So the result is that of a full comparison, at every length.
+    then with two out.  The lengths that a table's identifiers have tell how many characters of a pair must match for
+    the least ratio, so no more are taken out than that, and how near one that was not met can be: an identifier is
+    decided once so many have been found that are nearer, or if none not met can have the least ratio.  Those that stay
+    undecided, and those over ``longest`` characters, are held against all of their table in blocks, by falling bound of
+    the characters both have.  So the result is that of a full comparison, at every length.
 
     values, index: itemtable, identifier; blank ones are not looked up, repeated ones count once.
     """
-    some = lambda df: df.select("itemtable", "identifier").filter(F.col("identifier") != "").distinct()
-    index = cut(some(index).withColumnRenamed("identifier", "near"))
-    n = F.length("identifier")
+    some = lambda df: df.select("itemtable", "identifier").filter((F.col("identifier") != "") & F.col("itemtable").isNotNull()).distinct()
+    index, wanted = cut(some(index).withColumnRenamed("identifier", "near")), cut(some(values))
+    spark = index.sparkSession
+    n, m, least = F.col("_n"), F.col("_m"), F.col("_least")
+    found_type = "itemtable string, identifier string, near string, ratio double"
+    # A row for each table and two lengths that it has, with the characters that must match at least.
+    lengths = wanted.select("itemtable", F.length("identifier").alias("_n")).distinct().join(index.select("itemtable", F.length("near").alias("_m")).distinct(), "itemtable")
+    ways = cut(lengths.withColumn("_least", F.ceil(options.near_miss * (n + m) / 2 - 1e-9).cast("int")).filter(least <= F.least(n, m)))
 
     def rated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            pdf["ratio"] = [_ratio(a, b) for a, b in zip(pdf["identifier"], pdf["near"])]
-            yield pdf[["itemtable", "identifier", "near", "ratio"]]
-
-    def close(wanted: DataFrame, places: int) -> DataFrame:
-        reach = wanted.select("itemtable", F.explode(F.sequence(n - places, n + places)).alias("_n")).distinct()
-        left = wanted.withColumn("_left", F.explode(_without(F.col("identifier"), places)))
-        # Only identifiers of a length that can meet one of those looked for are taken apart.
-        right = index.withColumn("_n", F.length("near")).join(F.broadcast(reach), ["itemtable", "_n"], "left_semi").withColumn("_left", F.explode(_without(F.col("near"), places)))
-        pairs = left.join(right, ["itemtable", "_left"]).select("itemtable", "identifier", "near").distinct()
-        return cut(pairs.mapInPandas(rated, "itemtable string, identifier string, near string, ratio double").filter(F.col("ratio") >= options.near_miss))
-
-    def undecided(wanted: DataFrame, found: DataFrame, beyond: int) -> DataFrame:
-        """Those of which too few are found that nothing ``beyond`` so many characters apart could come before."""
-        sure = found.filter(F.col("ratio") >= 2 * n / (2 * n + beyond) + 1e-9).groupBy("itemtable", "identifier").count().filter(F.col("count") >= options.nearest)
-        return wanted.join(sure, ["itemtable", "identifier"], "left_anti").select("itemtable", "identifier")
-
-    wanted = some(values)
-    short = wanted.filter(n <= longest)
+            out = []
+            for (t, value), group in pdf.groupby(["itemtable", "identifier"], sort=False)["near"]:
+                names = sorted(group)
+                chars = {c: k for k, c in enumerate(sorted({c for x in names for c in x}))}
+                counts = _letters(names, chars)
+                out += [(t, value, x, s) for s, x in _best(value, names, counts, chars, _ratio_to(value), options.nearest, options.near_miss)]
+            yield pd.DataFrame(out, columns=["itemtable", "identifier", "near", "ratio"])
+
+    def close(some: DataFrame, places: int) -> DataFrame:
+        """The best of those that are equal with so many characters out of the longer one."""
+        kept = F.greatest(F.greatest(n, m) - places, least)
+        steps = ways.filter((n <= longest) & (kept <= F.least(n, m)))
+        if places > 1:
+            # Otherwise all that count were met with fewer out.
+            steps = steps.filter(least <= F.greatest(n, m) - places)
+
+        def parts(df: DataFrame, value: str, size: str) -> DataFrame:
+            out = F.broadcast(steps.select("itemtable", F.col(size).alias("_size"), (F.col(size) - kept).alias("_out")).distinct())
+            left = df.withColumn("_size", F.length(value)).join(out, ["itemtable", "_size"]).select("itemtable", value, F.explode(_without(F.col(value), F.col("_out"))).alias("_left"))
+            # Planned sizes do not count what explode adds, so a broadcast of this is ruled out; a number stands for the text.
+            return left.select("itemtable", value, F.xxhash64("_left").alias("_left")).hint("merge")
+
+        pairs = parts(some, "identifier", "_n").join(parts(index, "near", "_m"), ["itemtable", "_left"]).select("itemtable", "identifier", "near")
+        pairs = pairs.repartition("itemtable", "identifier").distinct().sortWithinPartitions("itemtable", "identifier")
+        return cut(pairs.mapInPandas(rated, found_type))
+
+    def undecided(some: DataFrame, found: DataFrame, places: int) -> DataFrame:
+        """Those of which too few are found that nothing not met with so many characters out could come before."""
+        match = F.least(n, m, F.greatest(n, m) - places - 1)
+        beyond = ways.filter(least <= match).groupBy("itemtable", "_n").agg(F.max(2 * match / (n + m)).alias("_beyond"))
+        open_ = lambda df: df.withColumn("_n", F.length("identifier")).join(F.broadcast(beyond), ["itemtable", "_n"])
+        sure = open_(found).filter(F.col("ratio") > F.col("_beyond") + 1e-9).groupBy("itemtable", "identifier").count().filter(F.col("count") >= options.nearest)
+        return open_(some).join(sure, ["itemtable", "identifier"], "left_anti").select("itemtable", "identifier")
+
+    long = F.length("identifier") > longest
+    short = wanted.filter(~long)
     once = close(short, 1)
-    rest = cut(undecided(short, once, 2))
+    rest = cut(undecided(short, once, 1))
     twice = close(rest, 2)
-    last = cut(undecided(rest, twice, 3).unionByName(wanted.filter(n > longest)))
+    last = cut(undecided(rest, twice, 2).unionByName(wanted.filter(long)))
 
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -222,7 +251,7 @@ def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = An
                 chars = {c: k for k, c in enumerate(sorted({c for x in names for c in x}))}
                 counts = _letters(names, chars)
                 for value in wanted_:
-                    out += [(t, value, x, s) for s, x in _best(value, names, counts, chars, _ratio, options.nearest, options.near_miss)]
+                    out += [(t, value, x, s) for s, x in _best(value, names, counts, chars, _ratio_to(value), options.nearest, options.near_miss)]
             yield pd.DataFrame(out, columns=["itemtable", "identifier", "near", "ratio"])
 
     # Both sides in blocks of one length each, so most blocks are out of each other's reach and none is sent for one value.
@@ -231,13 +260,15 @@ def near_misses(values: DataFrame, index: DataFrame, options: AnswerOptions = An
         most = sized.groupBy("itemtable", size).count().agg(F.max("count")).first()[0] or 1
         return sized.groupBy("itemtable", size, F.pmod(F.xxhash64(value), F.lit(-(-most // block))).alias("_block")).agg(F.sort_array(F.collect_list(value)).alias(out)).drop("_block")
 
-    names = blocked(index.join(F.broadcast(last.select("itemtable").distinct()), "itemtable", "left_semi"), "near", "_m", NAME_BLOCK, "_names")
-    reach = (F.col("_m") * (2 - options.near_miss) >= F.col("_n") * options.near_miss) & (F.col("_n") * (2 - options.near_miss) >= F.col("_m") * options.near_miss)
-    full = blocked(last, "identifier", "_n", NAME_BLOCK // 20, "_wanted").join(names, "itemtable").filter(reach).select("itemtable", "_wanted", "_names")
-    full = full.repartition(int(full.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = once.unionByName(twice).unionByName(full.mapInPandas(compared, "itemtable string, identifier string, near string, ratio double")).distinct()
+    found = once.unionByName(twice)
+    if not last.isEmpty():
+        names = blocked(index.join(F.broadcast(last.select("itemtable").distinct()), "itemtable", "left_semi"), "near", "_m", NAME_BLOCK, "_names")
+        reach = 2 * F.least(n, m) >= options.near_miss * (n + m) - 1e-9
+        full = blocked(last, "identifier", "_n", NAME_BLOCK // 20, "_wanted").join(names, "itemtable").filter(reach).select("itemtable", "_wanted", "_names")
+        full = full.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        found = found.unionByName(full.mapInPandas(compared, found_type))
     k = F.row_number().over(Window.partitionBy("itemtable", "identifier").orderBy(F.desc("ratio"), "near"))
-    return found.withColumn("place", k).filter(F.col("place") <= options.nearest)
+    return found.distinct().withColumn("place", k).filter(F.col("place") <= options.nearest)
 
 
 def proposed_names(answers: DataFrame) -> DataFrame:

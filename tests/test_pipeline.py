@@ -190,6 +190,34 @@ def test_near_misses_are_those_of_a_full_comparison(spark):
         assert got.get(w, []) == want, (w, got.get(w), want)
 
 
+def test_near_misses_keep_no_more_than_can_count(spark, monkeypatch, tmp_path):
+    import difflib
+    import re
+
+    index = [f"pk-{k:08d}" for k in range(0, 400, 2)]
+    wanted = [f"rm-{k:08d}" for k in range(30)] + [f"pk-{k:08d}" for k in range(1, 61, 2)] + ["pk-0000124", "pk-0000999"]
+    plans, kept, cut = [], [], U.cut
+    monkeypatch.setattr(U, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept.append(cut(df)) or kept[-1])
+    for name, rows in (("wanted", wanted), ("index", index)):
+        spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string").write.parquet(f"{tmp_path}/{name}")
+    got = {}
+    for r in U.near_misses(spark.read.parquet(f"{tmp_path}/wanted"), spark.read.parquet(f"{tmp_path}/index")).orderBy("place").collect():
+        got.setdefault(r["identifier"], []).append(r["near"])
+    for w in wanted:
+        scored = sorted((-difflib.SequenceMatcher(None, x, w).ratio(), x) for x in index)
+        assert got.get(w, []) == [x for s, x in scored[:3] if s <= -0.8], w
+    # Tables of few bytes: what explode makes of them is not sent to the driver all the same.
+    assert not any(re.search(r"BroadcastHashJoin \[[^]]*_left", p) for p in plans)
+    assert all(df.groupBy("identifier").count().filter("count > 3").isEmpty() for df in kept if "ratio" in df.columns)
+    # Nothing that differs by more characters can count, so nothing is held against the whole table.
+    assert kept[-1].columns == ["itemtable", "identifier"] and kept[-1].isEmpty()
+
+
+def test_near_misses_of_just_the_least_ratio_at_three_more_characters(spark):
+    df = lambda rows: spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string")
+    assert [(r["near"], r["ratio"]) for r in U.near_misses(df(["abaabbabb"]), df(["aaabab"])).collect()] == [("aaabab", 0.8)]
+
+
 def test_three_near_ones_do_not_hide_a_nearer_one(spark):
     index = ["RM-00000124", "RM-00000125", "RM-00000126", "RM-0000012377"]
     df = lambda rows: spark.createDataFrame([("t", x) for x in rows], "itemtable string, identifier string")
